@@ -1,0 +1,28 @@
+"""Folders for intermediate tables, on storage that every executor shares."""
+
+from __future__ import annotations
+
+import tempfile
+from uuid import uuid4
+
+from pyspark.sql import SparkSession
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new, not yet existing folder below ``spark.checkpoint.dir``.
+
+    Without that setting a local session uses the machine's temporary folder;
+    a cluster session must name a shared one.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="customer-canon-")
+    return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder made by ``scratch_folder`` on whatever storage it lives."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
