@@ -21,6 +21,9 @@ def clean_tax_id(tax_id: Column, country: Column, trim: str = UNICODE_SPACE) ->
     return F.when(F.startswith(compact, country), F.substr(compact, F.lit(3))).otherwise(compact)
 
 
-def tax_id_is_valid(tax_id: Column, country: Column) -> Column:
-    """The length rule in three-valued logic: null for a null Spanish tax ID."""
-    return F.when(country == FIXED_LENGTH_COUNTRY, F.length(tax_id) == FIXED_LENGTH).otherwise(F.lit(True))
+def tax_id_is_valid(tax_id: Column, country: Column, elsewhere: Column | bool = True) -> Column:
+    """The length rule in three-valued logic: null for a null Spanish tax ID.
+
+    ``elsewhere`` is the verdict for all countries that have no length rule.
+    """
+    return F.when(country == FIXED_LENGTH_COUNTRY, F.length(tax_id) == FIXED_LENGTH).otherwise(elsewhere)

@@ -23,9 +23,10 @@ _SOURCE_COUNTRY = "__source_country"
 def _acceptance(rules: Rules) -> Column:
     """Boolean verdict on a normalised row; never null under total rules."""
     tax_id, country = F.col("tax_id"), F.col("country")
-    verdict = tax_id_is_valid(tax_id, country)
     if rules.total:
-        verdict = F.coalesce(verdict & (tax_id != ""), F.lit(False))
+        verdict = F.coalesce(tax_id_is_valid(tax_id, country, elsewhere=tax_id != ""), F.lit(False))
+    else:
+        verdict = tax_id_is_valid(tax_id, country)
     if rules.on_unsupported_country == "reject":
         verdict = country.isNotNull() & verdict
     return verdict

@@ -49,12 +49,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--multi_line", action="store_true", help="cells may contain line breaks")
     options = vars(parser.parse_args(argv))
 
-    spark = (
-        SparkSession.builder.appName(f"customer-canon {options['source_system']}")
-        # Staging writes one file per outcome and task; open writers spare it a sort.
-        .config("spark.sql.maxConcurrentOutputFileWriters", "3")
-        .getOrCreate()
-    )
+    spark = SparkSession.builder.appName(f"customer-canon {options['source_system']}").getOrCreate()
     report = run_job(
         spark,
         JobArgs.from_options(options),

@@ -14,10 +14,11 @@ from customer_canon.operators.classify import classify, process, processed, reje
 from customer_canon.operators.dedup import first_per_customer
 from customer_canon.operators.identify import identify
 from customer_canon.plans.scratch import drop_folder, scratch_folder
+from customer_canon.plans.settings import settings, shuffle_for
 from customer_canon.rules import STRICT, Rules
 from customer_canon.schema import LEDGER, PROCESSED_FIELDS
-from customer_canon.sinks.files import write_processed, write_rejected
-from customer_canon.sources.csv_scan import INPUT_POSITION, scan_csv, with_input_position
+from customer_canon.sinks.files import check_rows_per_file, write_processed, write_rejected
+from customer_canon.sources.csv_scan import scan_csv, with_input_position
 from customer_canon.sources.providers import Provider
 
 COMPLETED = "COMPLETED"
@@ -67,22 +68,20 @@ def _stage(classified: DataFrame, folder: str) -> dict[str, int]:
     """Writes the classified rows once, one subfolder per outcome, and counts them on the way.
 
     The write has no shuffle, so the counts come from its result tasks, which
-    Spark counts exactly once even when tasks are retried or executors lost.
+    Spark counts exactly once even when tasks are retried or executors lost. A
+    task keeps one file open per outcome, which spares it sorting its rows.
     """
     valid = F.col("is_valid")
     counts = Observation("classified rows")
     outcome = F.when(valid, "processed").when(~valid, "rejected").otherwise("neither")
-    (
-        classified.observe(
-            counts,
-            F.count(F.when(valid, 1)).alias("processed_count"),
-            F.count(F.when(~valid, 1)).alias("rejected_count"),
-            F.count(F.when(valid & F.col("name").isNull(), 1)).alias("unnamed_count"),
-        )
-        .withColumn("outcome", outcome)
-        .write.partitionBy("outcome")
-        .parquet(folder)
-    )
+    counted = classified.observe(
+        counts,
+        F.count(F.when(valid, 1)).alias("processed_count"),
+        F.count(F.when(~valid, 1)).alias("rejected_count"),
+        F.count(F.when(valid & F.col("name").isNull(), 1)).alias("unnamed_count"),
+    ).withColumn("outcome", outcome)
+    with settings(classified.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "3"}):
+        counted.write.partitionBy("outcome").parquet(folder)
     return counts.get
 
 
@@ -113,6 +112,7 @@ def run(
     """
     if len({input_path, processed_path, rejected_path}) < 3:
         raise ValueError("input, processed and rejected paths must differ")
+    check_rows_per_file(rows_per_file)
     started_at = datetime.now(UTC)
 
     def report(status: str, **details: object) -> RunReport:
@@ -135,7 +135,8 @@ def run(
         unique = Observation("unique customers")
         customers = unique_customers(processed(staged.filter("outcome = 'processed'")), rules)
         customers = customers.observe(unique, F.count(F.lit(1)).alias("unique_count"))
-        write_processed(layout(customers) if layout else customers, processed_path, rows_per_file)
+        with settings(spark, shuffle_for(spark, counts["processed_count"])):
+            write_processed(layout(customers) if layout else customers, processed_path, rows_per_file)
         write_rejected(rejected(staged.filter("outcome = 'rejected'")), rejected_path)
     finally:
         drop_folder(spark, folder)

@@ -22,12 +22,17 @@ def raw_rejects(rejected: DataFrame) -> DataFrame:
     return rejected.selectExpr("raw_record", "reason_detail AS reason")
 
 
+def check_rows_per_file(rows_per_file: int | None) -> None:
+    """Spark takes 0 as "no limit"; asking for it is more likely a mistake."""
+    if rows_per_file is not None and rows_per_file <= 0:
+        raise ValueError("rows_per_file must be greater than zero")
+
+
 def write_processed(customers: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     """Replaces ``path`` with Parquet files of at most ``rows_per_file`` rows each."""
+    check_rows_per_file(rows_per_file)
     writer = customers.write.mode("overwrite")
     if rows_per_file is not None:
-        if rows_per_file <= 0:
-            raise ValueError("rows_per_file must be greater than zero")
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.parquet(path)
 
