@@ -32,6 +32,16 @@ def _acceptance(rules: Rules) -> Column:
     return verdict
 
 
+def _evaluated_once(verdict: Column) -> Column:
+    """The same verdict, computed in one place however often it is filtered on.
+
+    Spark pushes filters below deterministic projections, and would there clean
+    the tax ID anew for every mention of it. It does not push them past a row
+    id; ids are never negative, so the comparison changes nothing.
+    """
+    return verdict & (F.monotonically_increasing_id() >= 0)
+
+
 def _unsupported_detail() -> Column:
     return F.concat(F.lit(f"{UNSUPPORTED_COUNTRY}: "), F.coalesce(_SOURCE_COUNTRY, F.lit("(missing)")))
 
@@ -65,7 +75,7 @@ def classify(source: DataFrame, provider: Provider, rules: Rules = STRICT, keep_
     no_country = F.col("country").isNull()
     return (
         normalize(mapped, rules)
-        .withColumn("is_valid", _acceptance(rules))
+        .withColumn("is_valid", _evaluated_once(_acceptance(rules)))
         .select(
             *CANONICAL_FIELDS,
             "is_valid",

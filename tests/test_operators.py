@@ -194,6 +194,15 @@ def test_classification_is_one_narrow_stage(spark, sf_dir):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderpriority:string>" in text
 
 
+def test_views_clean_once_and_prune_columns(spark, sf_dir):
+    source = extract(spark, sf_dir, "ERP_B").withColumn("unmapped", F.rand())
+    for view in (processed(classify(source, B)), rejected(classify(source, B, keep_raw=False))):
+        text = plan_text(view)
+        condition = next(line for line in text.splitlines() if line.startswith("Condition"))
+        assert "upper" not in condition and "rand" not in text
+        assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderpriority:string>" in text
+
+
 # Input, processed, unsupported country, invalid tax ID, distinct customers.
 GOLDEN = {
     ("0.001", "ERP_A"): (150, 126, 19, 5, 126),
