@@ -18,7 +18,7 @@ from checks.extracts import extract, write_csv
 from checks.queries import QUERIES
 from checks.udf_plan import run_udf_plan
 from customer_canon import provider_for, run
-from customer_canon.plans.scratch import scratch_folder
+from checks.scratch import scratch_folder
 
 
 def median_seconds(work: Callable[[], object], repeats: int) -> float:

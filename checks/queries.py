@@ -25,7 +25,7 @@ from customer_canon.operators import (
 )
 from customer_canon.plans.job import JobArgs, run_job
 from customer_canon.plans.run import process_csv, run, unique_customers
-from customer_canon.plans.scratch import scratch_folder
+from checks.scratch import drop_folder, scratch_folder
 from customer_canon.rules import DF_PARITY
 from customer_canon.schema import CANONICAL_FIELDS, PROCESSED_FIELDS, REJECTED_FIELDS, rejected_schema
 from customer_canon.sinks import (
@@ -232,6 +232,8 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         run(spark, path, f"{out}/{n}/processed", f"{out}/{n}/rejected", provider_for(source_system))
         for n, (source_system, path) in enumerate(inputs)
     ]
+    for folder in (out, *(path for _, path in inputs)):
+        drop_folder(spark, folder)
     ledger = _union([report.as_dataframe(spark) for report in reports])
     return ledger.select(
         "source_system", "status", "error", "processed_count", "rejected_count", "unique_count", "unnamed_count"
@@ -245,6 +247,7 @@ def job_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = scratch_folder(spark, "job")
         source_path = _csv(spark, sf_dir, source_system)
         run_job(spark, JobArgs(source_system, source_path, f"{out}/processed", f"{out}/rejected"))
+        drop_folder(spark, source_path)
         customers = read_processed(spark, f"{out}/processed")
         source_columns = tuple(provider_for(source_system).mapping.values())
         rejects = read_rejected(spark, f"{out}/rejected", rejected_schema(source_columns)).select(*REJECTED_FIELDS)

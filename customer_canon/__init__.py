@@ -6,7 +6,7 @@ The package is layered from small to large:
 * ``operators``  DataFrame -> DataFrame: mapping, classification, first-wins
 * ``sources``    column layouts of the source systems, CSV scan
 * ``sinks``      Parquet and JSON outputs with fixed layouts
-* ``plans``      whole runs with staging, counts and ledger; the job entry point
+* ``plans``      whole runs with counts and ledger; the job entry point
 """
 
 from customer_canon.errors import IngestionError

@@ -102,9 +102,6 @@ def rejected(classified: DataFrame) -> DataFrame:
 
 
 def process(source: DataFrame, provider: Provider, rules: Rules = STRICT) -> tuple[DataFrame, DataFrame]:
-    """(processed, rejected) as two lazy views of one classification.
-
-    Using both runs the source twice; ``plans.run`` stages it once instead.
-    """
+    """(processed, rejected) as two lazy views of one classification."""
     classified = classify(source, provider, rules)
     return processed(classified), rejected(classified)

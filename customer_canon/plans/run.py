@@ -1,4 +1,4 @@
-"""A whole run: scan, classify, stage, write both outputs, report."""
+"""A whole run: scan, classify, write both outputs, report."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import UTC, datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,6 @@ from customer_canon.errors import IngestionError
 from customer_canon.operators.classify import classify, process, processed, rejected
 from customer_canon.operators.dedup import first_per_customer
 from customer_canon.operators.identify import identify
-from customer_canon.plans.scratch import drop_folder, scratch_folder
 from customer_canon.plans.settings import settings, shuffle_for
 from customer_canon.rules import STRICT, Rules
 from customer_canon.schema import LEDGER, PROCESSED_FIELDS
@@ -24,6 +24,8 @@ from customer_canon.sources.providers import Provider
 COMPLETED = "COMPLETED"
 FAILED = "FAILED"
 
+Layout = Callable[[DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class RunReport:
@@ -64,24 +66,31 @@ def unique_customers(accepted: DataFrame, rules: Rules = STRICT) -> DataFrame:
     return identify(first_per_customer(accepted), rules).select(*PROCESSED_FIELDS)
 
 
-def _stage(classified: DataFrame, folder: str) -> dict[str, int]:
-    """Writes the classified rows once, one subfolder per outcome, and counts them on the way.
+def _write_rejects(classified: DataFrame, path: str) -> dict[str, int]:
+    """Writes the rejects and counts all rows, accepted ones included, on the way.
 
-    The write has no shuffle, so the counts come from its result tasks, which
-    Spark counts exactly once even when tasks are retried or executors lost. A
-    task keeps one file open per outcome, which spares it sorting its rows.
+    This write has no shuffle, so the counts come from its result tasks, which
+    Spark counts exactly once even when tasks are retried or executors lost.
     """
     valid = F.col("is_valid")
     counts = Observation("classified rows")
-    outcome = F.when(valid, "processed").when(~valid, "rejected").otherwise("neither")
     counted = classified.observe(
         counts,
         F.count(F.when(valid, 1)).alias("processed_count"),
         F.count(F.when(~valid, 1)).alias("rejected_count"),
         F.count(F.when(valid & F.col("name").isNull(), 1)).alias("unnamed_count"),
-    ).withColumn("outcome", outcome)
-    with settings(classified.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": "3"}):
-        counted.write.partitionBy("outcome").parquet(folder)
+    )
+    write_rejected(rejected(counted), path)
+    return counts.get
+
+
+def _write_unique(
+    accepted: DataFrame, path: str, rules: Rules, layout: Layout | None, rows_per_file: int | None
+) -> dict[str, int]:
+    """Writes the first row per customer and counts them behind the shuffle, again exactly once."""
+    counts = Observation("unique customers")
+    customers = unique_customers(accepted, rules).observe(counts, F.count(F.lit(1)).alias("unique_count"))
+    write_processed(layout(customers) if layout else customers, path, rows_per_file)
     return counts.get
 
 
@@ -96,17 +105,21 @@ def run(
     multi_line: bool = False,
     keep_raw: bool = True,
     rows_per_file: int | None = None,
-    layout: Callable[[DataFrame], DataFrame] | None = None,
+    layout: Layout | None = None,
+    cache: StorageLevel | None = None,
     ledger_path: str | None = None,
 ) -> RunReport:
     """Runs one extract from CSV to both outputs and returns the report.
 
-    The input is parsed once, into a staged table on shared storage from which
-    both outputs are written: they agree with each other even if the input
-    changes meanwhile, and lost executors cost a re-read of the compact staged
-    files rather than of the CSV. A missing required column ends the run as
-    FAILED, without output; every other error is raised. The ledger row is
-    written last, so COMPLETED means that both outputs are there.
+    A missing required column ends the run as FAILED, without output; every other
+    error is raised. The ledger row is written last, so COMPLETED means that both
+    outputs are there.
+
+    Each output is written straight from its own pass over the input: parsing
+    twice costs less than writing all rows to an intermediate table and reading
+    them back. Both passes use the file list taken at the start. ``cache`` keeps
+    the classified rows in between, for inputs that are slow to parse because
+    they cannot be split (compressed or ``multi_line`` files).
 
     ``layout`` is applied to the processed rows, e.g. ``canonical_projection``.
     """
@@ -127,18 +140,14 @@ def run(
     except IngestionError as error:
         return report(FAILED, error=str(error))
 
-    folder = scratch_folder(spark, "classified")
+    if cache is not None:
+        classified = classified.persist(cache)
     try:
-        counts = _stage(classified, folder)
-        staged = spark.read.schema(classified.schema.add("outcome", "string")).parquet(folder)
-
-        unique = Observation("unique customers")
-        customers = unique_customers(processed(staged.filter("outcome = 'processed'")), rules)
-        customers = customers.observe(unique, F.count(F.lit(1)).alias("unique_count"))
+        counts = _write_rejects(classified, rejected_path)
         with settings(spark, shuffle_for(spark, counts["processed_count"])):
-            write_processed(layout(customers) if layout else customers, processed_path, rows_per_file)
-        write_rejected(rejected(staged.filter("outcome = 'rejected'")), rejected_path)
+            counts |= _write_unique(processed(classified), processed_path, rules, layout, rows_per_file)
     finally:
-        drop_folder(spark, folder)
+        if cache is not None:
+            classified.unpersist()
 
-    return report(COMPLETED, **counts, **unique.get)
+    return report(COMPLETED, **counts)

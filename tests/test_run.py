@@ -1,15 +1,17 @@
 """CSV scanning, sinks and whole runs, on files."""
 
 import json
+from operator import attrgetter, itemgetter
 from pathlib import Path
 
 import pytest
+from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 
 from checks.extracts import extract, skewed_extract, write_csv
 from customer_canon import IngestionError, process_csv, provider_for, run
 from customer_canon.plans.job import JobArgs, main, run_job
-from customer_canon.plans.scratch import drop_folder, scratch_folder
+from checks.scratch import drop_folder, scratch_folder
 from customer_canon.plans.settings import ROWS_PER_SHUFFLE_PARTITION, settings, shuffle_for
 from customer_canon.schema import CANONICAL_PROJECTION_FIELDS, LEDGER, PROCESSED_FIELDS, REJECTED_FIELDS, rejected_schema
 from customer_canon.sinks import canonical_projection, raw_rejects, read_rejected, write_processed, write_rejected
@@ -224,15 +226,24 @@ def test_runs_replace_outputs_and_append_to_the_ledger(spark, paths, tmp_path):
     assert spark.read.schema(LEDGER).json(ledger).count() == 2
 
 
-def test_run_conserves_rows_and_leaves_no_staging(spark, sf_dir, paths):
+def test_run_conserves_rows(spark, sf_dir, paths):
     source, processed, rejected = paths
     write_csv(extract(spark, sf_dir, "ERP_B"), source)
-    root = Path(scratch_folder(spark, "probe")).parent
-    before = set(root.glob("classified-*"))
     report = run(spark, source, processed, rejected, B)
     assert report.processed_count + report.rejected_count == 1_500
     assert (report.unique_count, len(json_rows(rejected))) == (126, report.rejected_count)
-    assert set(root.glob("classified-*")) == before
+
+
+def test_run_with_cache_gives_the_same(spark, sf_dir, paths):
+    source, processed, rejected = paths
+    write_csv(extract(spark, sf_dir, "ERP_B"), source)
+    plain = run(spark, source, processed, rejected, B)
+    rows = parquet_rows(spark, processed)
+    cached = run(spark, source, processed, rejected, B, cache=StorageLevel.MEMORY_AND_DISK)
+    key = itemgetter("customer_id")
+    assert sorted(parquet_rows(spark, processed), key=key) == sorted(rows, key=key)
+    counts = attrgetter("processed_count", "rejected_count", "unique_count", "unnamed_count")
+    assert counts(plain) == counts(cached)
 
 
 def test_hot_customer_is_pruned_before_the_shuffle(spark, sf_dir, paths):
