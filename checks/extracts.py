@@ -57,7 +57,9 @@ def _email(r: Column) -> Column:
     return F.when(r % 4 != 0, F.concat(F.lit("u"), _text(r), F.lit("@example.com")))
 
 
-def _extract(table: DataFrame, source_system: str, k: Column, r: Column, external_id: Column, name: Column) -> DataFrame:
+def _extract(
+    table: DataFrame, source_system: str, k: Column, r: Column, external_id: Column, name: Column
+) -> DataFrame:
     values = {
         "external_id": external_id,
         "name": name,

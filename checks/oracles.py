@@ -141,14 +141,16 @@ ORACLES: dict[str, str] = {
              WHEN country = 'ES' AND length(tax_id) <> 9 THEN 'invalid' ELSE 'valid' END AS verdict
       FROM cleaned""",
     "processed": f"{_STRICT_ALL} SELECT source_system, {_CANONICAL} FROM judged WHERE is_valid",
-    "rejected": f"{_STRICT_ALL} SELECT source_system, {_CANONICAL}, {_REASON}, {_DETAIL} FROM judged WHERE NOT is_valid",
+    "rejected": f"""{_STRICT_ALL}
+      SELECT source_system, {_CANONICAL}, {_REASON}, {_DETAIL} FROM judged WHERE NOT is_valid""",
     "rejected_raw": f"""{_strict(_EXTRACTS["ERP_B"])}
       SELECT external_id AS client_code, name AS legal_name, source_tax_id AS vat_number, source_country AS country,
         email AS contact_email, reason_detail AS reason,
         CAST(json_object('client_code', external_id, 'legal_name', name, 'vat_number', source_tax_id,
           'country', source_country, 'contact_email', email) AS VARCHAR) AS raw_json
       FROM (SELECT *, {_DETAIL} FROM judged WHERE NOT is_valid)""",
-    "processed_df_parity": f"{_PARITY_ALL} SELECT source_system, {_CANONICAL}, customer_id FROM identified WHERE is_valid",
+    "processed_df_parity": f"""{_PARITY_ALL}
+      SELECT source_system, {_CANONICAL}, customer_id FROM identified WHERE is_valid""",
     "rejected_df_parity": f"""{_PARITY_ALL}
       SELECT source_system, {_CANONICAL}, 'Invalid tax ID' AS reason FROM judged WHERE NOT is_valid""",
     "outcome_counts": f"""{_STRICT_ALL}
@@ -185,4 +187,10 @@ ORACLES: dict[str, str] = {
         CAST(NULL AS VARCHAR) AS reason_detail FROM ranked WHERE place = 1
       UNION ALL
       SELECT 'rejected', source_system, {_CANONICAL}, NULL, {_REASON}, {_DETAIL} FROM judged WHERE NOT is_valid""",
+    "job_source_layout": f"""{_strict(_EXTRACTS["ERP_A"])}
+      SELECT customer_id, name, tax_id, country, email, CAST(NULL AS VARCHAR) AS reason,
+        CAST(NULL AS VARCHAR) AS external_id FROM ranked WHERE place = 1
+      UNION ALL
+      SELECT NULL, NULL, source_tax_id, NULL, NULL, reason_detail, external_id
+      FROM (SELECT *, {_DETAIL} FROM judged WHERE NOT is_valid)""",
 }

@@ -27,7 +27,14 @@ from customer_canon.plans.job import JobArgs, run_job
 from customer_canon.plans.run import process_csv, run, unique_customers
 from checks.scratch import drop_folder, scratch_folder
 from customer_canon.rules import DF_PARITY
-from customer_canon.schema import CANONICAL_FIELDS, PROCESSED_FIELDS, REJECTED_FIELDS, rejected_schema
+from customer_canon.schema import (
+    CANONICAL_FIELDS,
+    CANONICAL_PROJECTION_FIELDS,
+    REJECTED_FIELDS,
+    raw_rejects_schema,
+    rejected_schema,
+    text_schema,
+)
 from customer_canon.sinks import (
     canonical_projection,
     raw_rejects,
@@ -87,8 +94,9 @@ def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_per_source
 def normalize_country(source: DataFrame, source_system: str) -> DataFrame:
+    country = F.col("country")
     mapped = map_columns(source, provider_for(source_system))
-    return mapped.select("external_id", F.col("country").alias("source_country"), country_code(F.col("country")).alias("country"))
+    return mapped.select("external_id", country.alias("source_country"), country_code(country).alias("country"))
 
 
 @_per_source
@@ -252,10 +260,27 @@ def job_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         source_columns = tuple(provider_for(source_system).mapping.values())
         rejects = read_rejected(spark, f"{out}/rejected", rejected_schema(source_columns)).select(*REJECTED_FIELDS)
         for outcome, frame in (("processed", customers), ("rejected", rejects)):
-            outputs.append(frame.withColumn("outcome", F.lit(outcome)).withColumn("source_system", F.lit(source_system)))
+            tags = {"outcome": F.lit(outcome), "source_system": F.lit(source_system)}
+            outputs.append(frame.withColumns(tags))
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), outputs)
 
 
+def job_source_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose outputs hold customers without source ids, and rejects as untouched source records."""
+    out = scratch_folder(spark, "job")
+    provider = provider_for("ERP_A")
+    source_path = _csv(spark, sf_dir, "ERP_A")
+    run(
+        spark, source_path, f"{out}/processed", f"{out}/rejected", provider,
+        processed_layout=canonical_projection, rejected_layout=raw_rejects,
+    )
+    drop_folder(spark, source_path)
+    customers = read_processed(spark, f"{out}/processed", text_schema(CANONICAL_PROJECTION_FIELDS))
+    rejects = read_rejected(spark, f"{out}/rejected", raw_rejects_schema(tuple(provider.mapping.values())))
+    flat = rejects.select("reason", F.col("raw_record.customer_id").alias("external_id"), "raw_record.tax_id")
+    return customers.unionByName(flat, allowMissingColumns=True)
+
+
 QUERIES: dict[str, Query] = {
     "map_source_a": _map_source("ERP_A"),
     "map_source_b": _map_source("ERP_B"),
@@ -285,6 +310,7 @@ QUERIES: dict[str, Query] = {
     "sink_json_roundtrip": sink_json_roundtrip,
     "run_ledger": run_ledger,
     "job_end_to_end": job_end_to_end,
+    "job_source_layout": job_source_layout,
 }
 
 

@@ -15,7 +15,9 @@ from customer_canon.schema import CANONICAL_FIELDS
 from customer_canon.sources.providers import Provider
 
 
-def run_udf_plan(spark: SparkSession, input_path: str, processed_path: str, rejected_path: str, provider: Provider) -> None:
+def run_udf_plan(
+    spark: SparkSession, input_path: str, processed_path: str, rejected_path: str, provider: Provider
+) -> None:
     @F.udf("string")
     def identity(country: str, tax_id: str) -> str:
         return str(uuid.uuid5(CUSTOMER_NAMESPACE, f"{country}:{tax_id}"))

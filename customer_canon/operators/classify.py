@@ -68,8 +68,9 @@ def classify(source: DataFrame, provider: Provider, rules: Rules = STRICT, keep_
         *carried,
     )
     if rules.on_unsupported_country == "fail":
-        known = country_code(F.col("country")).isNotNull()
-        mapped = mapped.withColumn("country", F.when(known, F.col("country")).otherwise(F.raise_error(_unsupported_detail())))
+        country = F.col("country")
+        known = country_code(country).isNotNull()
+        mapped = mapped.withColumn("country", F.when(known, country).otherwise(F.raise_error(_unsupported_detail())))
 
     is_rejected = ~F.col("is_valid")
     no_country = F.col("country").isNull()

@@ -13,6 +13,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import SparkSession
 
 from customer_canon.plans.run import FAILED, RunReport, run
+from customer_canon.sinks.files import canonical_projection, raw_rejects
 from customer_canon.sources.providers import provider_for
 
 
@@ -47,6 +48,9 @@ def main(argv: Sequence[str] | None = None) -> int:
         parser.add_argument(f"--{field.name}", required=True)
     parser.add_argument("--ledger_path", help="folder that collects one JSON row per run")
     parser.add_argument("--multi_line", action="store_true", help="cells may contain line breaks")
+    parser.add_argument(
+        "--source_layout", action="store_true", help="write rejects as source records, customers without source ids"
+    )
     options = vars(parser.parse_args(argv))
 
     spark = SparkSession.builder.appName(f"customer-canon {options['source_system']}").getOrCreate()
@@ -55,6 +59,8 @@ def main(argv: Sequence[str] | None = None) -> int:
         JobArgs.from_options(options),
         ledger_path=options["ledger_path"],
         multi_line=options["multi_line"],
+        processed_layout=canonical_projection if options["source_layout"] else None,
+        rejected_layout=raw_rejects if options["source_layout"] else None,
     )
     print(report)
     return 1 if report.status == FAILED else 0

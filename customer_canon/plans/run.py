@@ -66,7 +66,7 @@ def unique_customers(accepted: DataFrame, rules: Rules = STRICT) -> DataFrame:
     return identify(first_per_customer(accepted), rules).select(*PROCESSED_FIELDS)
 
 
-def _write_rejects(classified: DataFrame, path: str) -> dict[str, int]:
+def _write_rejects(classified: DataFrame, path: str, layout: Layout | None) -> dict[str, int]:
     """Writes the rejects and counts all rows, accepted ones included, on the way.
 
     This write has no shuffle, so the counts come from its result tasks, which
@@ -80,7 +80,8 @@ def _write_rejects(classified: DataFrame, path: str) -> dict[str, int]:
         F.count(F.when(~valid, 1)).alias("rejected_count"),
         F.count(F.when(valid & F.col("name").isNull(), 1)).alias("unnamed_count"),
     )
-    write_rejected(rejected(counted), path)
+    rejects = rejected(counted)
+    write_rejected(layout(rejects) if layout else rejects, path)
     return counts.get
 
 
@@ -105,7 +106,8 @@ def run(
     multi_line: bool = False,
     keep_raw: bool = True,
     rows_per_file: int | None = None,
-    layout: Layout | None = None,
+    processed_layout: Layout | None = None,
+    rejected_layout: Layout | None = None,
     cache: StorageLevel | None = None,
     ledger_path: str | None = None,
 ) -> RunReport:
@@ -121,7 +123,8 @@ def run(
     the classified rows in between, for inputs that are slow to parse because
     they cannot be split (compressed or ``multi_line`` files).
 
-    ``layout`` is applied to the processed rows, e.g. ``canonical_projection``.
+    The layouts are applied to the rows of an output just before they are
+    written, e.g. ``canonical_projection`` and ``raw_rejects``.
     """
     if len({input_path, processed_path, rejected_path}) < 3:
         raise ValueError("input, processed and rejected paths must differ")
@@ -143,9 +146,11 @@ def run(
     if cache is not None:
         classified = classified.persist(cache)
     try:
-        counts = _write_rejects(classified, rejected_path)
+        counts = _write_rejects(classified, rejected_path, rejected_layout)
         with settings(spark, shuffle_for(spark, counts["processed_count"])):
-            counts |= _write_unique(processed(classified), processed_path, rules, layout, rows_per_file)
+            counts |= _write_unique(
+                processed(classified), processed_path, rules, processed_layout, rows_per_file
+            )
     finally:
         if cache is not None:
             classified.unpersist()

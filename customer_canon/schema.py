@@ -32,6 +32,11 @@ def rejected_schema(source_columns: tuple[str, ...]) -> StructType:
     return text_schema(REJECTED_FIELDS).add("raw_record", text_schema(source_columns))
 
 
+def raw_rejects_schema(source_columns: tuple[str, ...]) -> StructType:
+    """Schema of the JSON rejects in the layout that holds the source record only."""
+    return StructType().add("raw_record", text_schema(source_columns)).add("reason", StringType())
+
+
 LEDGER = StructType(
     [
         StructField("source_system", StringType()),

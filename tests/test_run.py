@@ -13,7 +13,13 @@ from customer_canon import IngestionError, process_csv, provider_for, run
 from customer_canon.plans.job import JobArgs, main, run_job
 from checks.scratch import drop_folder, scratch_folder
 from customer_canon.plans.settings import ROWS_PER_SHUFFLE_PARTITION, settings, shuffle_for
-from customer_canon.schema import CANONICAL_PROJECTION_FIELDS, LEDGER, PROCESSED_FIELDS, REJECTED_FIELDS, rejected_schema
+from customer_canon.schema import (
+    CANONICAL_PROJECTION_FIELDS,
+    LEDGER,
+    PROCESSED_FIELDS,
+    REJECTED_FIELDS,
+    rejected_schema,
+)
 from customer_canon.sinks import canonical_projection, raw_rejects, read_rejected, write_processed, write_rejected
 from customer_canon.sources.csv_scan import scan_csv, with_input_position
 
@@ -200,7 +206,7 @@ def test_run_options(spark, paths):
     put(source, A_HEADER + '1,"a\nb",B12345678,ES,\n2,b,B87654321,ES,\n3,c,B1,ES,\n4,,X1,FR,\n')
     report = run(
         spark, source, processed, rejected, A,
-        multi_line=True, keep_raw=False, rows_per_file=1, layout=canonical_projection,
+        multi_line=True, keep_raw=False, rows_per_file=1, processed_layout=canonical_projection,
     )
     rows = parquet_rows(spark, processed)
     assert {r["name"] for r in rows} == {"a\nb", "b", None} and list(rows[0]) == list(CANONICAL_PROJECTION_FIELDS)
@@ -276,9 +282,12 @@ def test_run_job_by_source_name(spark, paths):
 
 def test_main(spark, paths, tmp_path, capsys):
     put(paths[0], A_HEADER + "1,a,B12345678,ES,\n")
-    argv = ["--source_system", "ERP_A", "--input_path", paths[0], "--processed_path", paths[1], "--rejected_path", paths[2]]
+    names = ("--input_path", "--processed_path", "--rejected_path")
+    argv = ["--source_system", "ERP_A", *(part for pair in zip(names, paths) for part in pair)]
     assert main([*argv, "--ledger_path", str(tmp_path / "ledger")]) == 0
     assert "COMPLETED" in capsys.readouterr().out
+    assert main([*argv, "--source_layout"]) == 0
+    assert spark.read.parquet(paths[1]).columns == list(CANONICAL_PROJECTION_FIELDS)
     argv[1] = "ERP_B"
     assert main(argv) == 1
 
