@@ -27,4 +27,10 @@ def spark():
 
 @pytest.fixture(scope="session")
 def sf_dir():
+    """The smallest scale; queries are compared at TEST_SF if that is set."""
     return f"{TESTDATA}/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def query_dir():
+    return f"{TESTDATA}/sf{os.environ.get('TEST_SF', '0.001')}"

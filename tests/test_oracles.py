@@ -11,10 +11,10 @@ TABLES = ("customer", "orders", "supplier", "lineitem")
 
 
 @pytest.fixture(scope="module")
-def duck(sf_dir):
+def duck(query_dir):
     connection = duckdb.connect()
     for table in TABLES:
-        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{query_dir}/{table}.parquet'")
     yield connection
     connection.close()
 
@@ -24,8 +24,8 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", driver.queries())
-def test_query_equals_sql(spark, sf_dir, duck, name):
-    frame = driver.queries()[name](spark, sf_dir)
+def test_query_equals_sql(spark, query_dir, duck, name):
+    frame = driver.queries()[name](spark, query_dir)
     columns = sorted(frame.columns)
     expected = duck.execute(driver.oracle_sql()[name])
     names = [d[0] for d in expected.description]
