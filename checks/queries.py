@@ -65,12 +65,11 @@ def _per_source(build: Callable[[DataFrame, str], DataFrame]) -> Query:
     return query
 
 
-def _csv(spark: SparkSession, sf_dir: str, source_system: str, drop: str | None = None) -> str:
-    """Writes an extract as CSV in external-id order and returns its folder."""
+def _csv(spark: SparkSession, sf_dir: str, source_system: str, *, in_order: bool = False, drop: str = "") -> str:
+    """Writes an extract as CSV, optionally in external-id order, and returns its folder."""
     folder = scratch_folder(spark, f"extract-{source_system}")
-    frame = extract(spark, sf_dir, source_system)
-    ordered_by = provider_for(source_system).mapping["external_id"]
-    write_csv(frame.drop(drop) if drop else frame, folder, ordered_by)
+    frame = extract(spark, sf_dir, source_system).drop(drop)
+    write_csv(frame, folder, provider_for(source_system).mapping["external_id"] if in_order else None)
     return folder
 
 
@@ -253,7 +252,7 @@ def job_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     outputs = []
     for source_system in SOURCES:
         out = scratch_folder(spark, "job")
-        source_path = _csv(spark, sf_dir, source_system)
+        source_path = _csv(spark, sf_dir, source_system, in_order=True)
         run_job(spark, JobArgs(source_system, source_path, f"{out}/processed", f"{out}/rejected"))
         drop_folder(spark, source_path)
         customers = read_processed(spark, f"{out}/processed")
@@ -269,7 +268,7 @@ def job_source_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run whose outputs hold customers without source ids, and rejects as untouched source records."""
     out = scratch_folder(spark, "job")
     provider = provider_for("ERP_A")
-    source_path = _csv(spark, sf_dir, "ERP_A")
+    source_path = _csv(spark, sf_dir, "ERP_A", in_order=True)
     run(
         spark, source_path, f"{out}/processed", f"{out}/rejected", provider,
         processed_layout=canonical_projection, rejected_layout=raw_rejects,

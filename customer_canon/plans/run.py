@@ -118,10 +118,10 @@ def run(
     outputs are there.
 
     Each output is written straight from its own pass over the input: parsing
-    twice costs less than writing all rows to an intermediate table and reading
-    them back. Both passes use the file list taken at the start. ``cache`` keeps
-    the classified rows in between, for inputs that are slow to parse because
-    they cannot be split (compressed or ``multi_line`` files).
+    twice costs no more than storing all rows in between and reading them back.
+    Both passes use the file list taken at the start. ``cache`` does keep the
+    classified rows, for inputs that are slow to parse because they cannot be
+    split (compressed or ``multi_line`` files).
 
     The layouts are applied to the rows of an output just before they are
     written, e.g. ``canonical_projection`` and ``raw_rejects``.

@@ -7,9 +7,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-# With the columns at hand roughly 100 MB of shuffle data per partition.
+# With the columns at hand a few dozen MB of shuffle data per partition.
 ROWS_PER_SHUFFLE_PARTITION = 500_000
 
+# Every task writes a block per partition. Beyond this many, blocks of a few KB
+# cost more than the spills of partitions that outgrow an executor's memory.
+MOST_SHUFFLE_PARTITIONS = 20_000
+
 
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
@@ -28,11 +32,11 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 
 
 def shuffle_for(spark: SparkSession, rows: int) -> dict[str, str]:
-    """Enough shuffle partitions for ``rows`` rows, and never fewer than the session has.
+    """Shuffle partitions to suit ``rows`` rows, and never fewer than the session has.
 
     Adaptive execution merges partitions that turn out small but cannot add any,
     so a number that does not grow with the data would end in spills.
     """
     key = "spark.sql.shuffle.partitions"
-    needed = -(-rows // ROWS_PER_SHUFFLE_PARTITION)
+    needed = min(-(-rows // ROWS_PER_SHUFFLE_PARTITION), MOST_SHUFFLE_PARTITIONS)
     return {key: str(max(needed, int(spark.conf.get(key))))}

@@ -1,6 +1,8 @@
 """CSV scanning, sinks and whole runs, on files."""
 
+import io
 import json
+from contextlib import redirect_stdout
 from operator import attrgetter, itemgetter
 from pathlib import Path
 
@@ -109,6 +111,17 @@ def test_input_position_follows_the_file_whatever_the_splits(spark, tmp_path):
     assert ids == [f"{i:06d}" for i in range(3000)]
 
 
+def test_scan_reads_mapped_columns_only(spark, tmp_path):
+    put(tmp_path / "x", "extra," + A_HEADER + "x,1,a,B12345678,ES,e\n")
+    good, _ = process_csv(spark, str(tmp_path / "x"), A)
+    out = io.StringIO()
+    with redirect_stdout(out):
+        good.explain("formatted")
+    schema = "struct<customer_id:string,name:string,tax_id:string,country:string,email:string>"
+    assert f"ReadSchema: {schema}" in out.getvalue()
+    assert good.first().external_id == "1"
+
+
 # --- sinks -------------------------------------------------------------------
 
 
@@ -305,6 +318,7 @@ def test_shuffle_grows_with_the_rows(spark):
     before = spark.conf.get(key)
     assert shuffle_for(spark, 10) == {key: before}
     assert shuffle_for(spark, 1000 * ROWS_PER_SHUFFLE_PARTITION + 1) == {key: "1001"}
+    assert shuffle_for(spark, 10**12) == {key: "20000"}
     with settings(spark, {key: "77", "spark.sql.files.minPartitionNum": "3"}):
         assert spark.conf.get(key) == "77"
     assert spark.conf.get(key) == before
