@@ -7,108 +7,75 @@ without a value, some with an unknown country, some with a tax ID that is too sh
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from customer_canon.sources.providers import provider_for
-
-
-def _text(number: Column) -> Column:
-    return number.cast("string")
-
-
-def _padded(number: Column, width: int) -> Column:
-    return F.lpad(_text(number), width, "0")
-
-
-def _by_remainder(number: Column, choices: list[str]) -> Column:
-    return F.element_at(F.array(*map(F.lit, choices)), (number % len(choices) + 1).cast("int"))
-
-
-def _body(k: Column) -> Column:
-    digits = F.when(k % 10 == 7, _padded(k % 10000, 4)).otherwise(_padded(k, 8))
-    return F.concat(F.lit("B"), digits)
+from collections.abc import Sequence
 
+from pyspark.sql import DataFrame, SparkSession
 
-def _country(k: Column) -> Column:
-    names = ["Spain", "ES", "France", "FR", "Germany", "DE", "Spain", "Italy"]
-    return F.when(k % 97 != 96, _by_remainder(k, names))
-
-
-def _tax_id(k: Column, r: Column) -> Column:
-    body, code = _body(k), _by_remainder(k, ["ES", "ES", "FR", "FR", "DE", "DE", "ES", "IT"])
-    spelling = (
-        F.when(r % 5 == 0, body)
-        .when(
-            r % 5 == 1,
-            F.concat(
-                F.lit(" "), F.lower(code), F.lit("-"), F.substr(body, F.lit(1), F.lit(3)),
-                F.lit(" "), F.substr(body, F.lit(4)), F.lit(" "),
-            ),
-        )
-        .when(r % 5 == 2, F.concat(code, body))
-        .when(r % 5 == 3, F.lower(F.concat(F.lit("B-"), F.substr(body, F.lit(2)))))
-        .otherwise(F.concat(F.lit("\t"), body))
-    )
-    return F.when(k % 101 != 100, spelling)
-
-
-def _email(r: Column) -> Column:
-    return F.when(r % 4 != 0, F.concat(F.lit("u"), _text(r), F.lit("@example.com")))
-
+from customer_canon.sources.providers import provider_for
 
-def _extract(
-    table: DataFrame, source_system: str, k: Column, r: Column, external_id: Column, name: Column
-) -> DataFrame:
-    values = {
-        "external_id": external_id,
-        "name": name,
-        "tax_id": _tax_id(k, r),
-        "country": _country(k),
-        "email": _email(r),
-    }
+_BODY = "concat('B', if(k % 10 = 7, lpad(k % 10000, 4, '0'), lpad(k, 8, '0')))"
+_CODE = "elt(k % 8 + 1, 'ES', 'ES', 'FR', 'FR', 'DE', 'DE', 'ES', 'IT')"
+
+_FIELDS = {
+    "external_id": "external_id",
+    "name": "name",
+    "tax_id": """
+        if(k % 101 = 100, NULL, elt(r % 5 + 1,
+          body,
+          concat(' ', lower(code), '-', left(body, 3), ' ', substr(body, 4), ' '),
+          concat(code, body),
+          concat('b-', lower(substr(body, 2))),
+          concat('\\t', body)))""",
+    "country": """
+        if(k % 97 = 96, NULL,
+          elt(k % 8 + 1, 'Spain', 'ES', 'France', 'FR', 'Germany', 'DE', 'Spain', 'Italy'))""",
+    "email": "if(r % 4 = 0, NULL, concat('u', r, '@example.com'))",
+}
+
+
+def _extract(table: DataFrame, source_system: str, k: str, r: str, external_id: str, name: str) -> DataFrame:
     mapping = provider_for(source_system).mapping
-    return table.select(*[value.alias(mapping[field]) for field, value in values.items()])
+    keyed = table.selectExpr(f"{k} AS k", f"{r} AS r", f"{name} AS name")
+    return keyed.selectExpr("*", f"{external_id} AS external_id", f"{_BODY} AS body", f"{_CODE} AS code").selectExpr(
+        *[f"{value} AS {mapping[field]}" for field, value in _FIELDS.items()]
+    )
 
 
 def extract(spark: SparkSession, sf_dir: str, source_system: str) -> DataFrame:
     """ERP_A: one row per customer; ERP_B: one per order; ERP_C: one per supplier."""
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-    if source_system == "ERP_A":
-        key = F.col("c_custkey")
-        external_id = F.concat(F.lit("C"), _padded(key, 9))
-        return _extract(table("customer"), source_system, key, key, external_id, F.col("c_name"))
-    if source_system == "ERP_B":
-        k, r = F.col("o_custkey"), F.col("o_orderkey")
-        external_id = F.concat(F.lit("O"), _padded(r, 9))
-        name = F.concat(F.lit("Buyer "), _text(k), F.lit(" "), F.col("o_orderpriority"))
-        return _extract(table("orders"), source_system, k, r, external_id, name)
-    key = F.col("s_suppkey")
-    external_id = F.concat(F.lit("S"), _padded(key, 9))
-    return _extract(table("supplier"), source_system, key, key, external_id, F.col("s_name"))
+    table, k, r, external_id, name = {
+        "ERP_A": ("customer", "c_custkey", "c_custkey", "concat('C', lpad(k, 9, '0'))", "c_name"),
+        "ERP_B": (
+            "orders",
+            "o_custkey",
+            "o_orderkey",
+            "concat('O', lpad(r, 9, '0'))",
+            "concat('Buyer ', o_custkey, ' ', o_orderpriority)",
+        ),
+        "ERP_C": ("supplier", "s_suppkey", "s_suppkey", "concat('S', lpad(k, 9, '0'))", "s_name"),
+    }[source_system]
+    return _extract(spark.read.parquet(f"{sf_dir}/{table}.parquet"), source_system, k, r, external_id, name)
 
 
 def skewed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ERP_A layout, one row per order line, a third of which belong to customer 1000."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    order, line = F.col("l_orderkey"), F.col("l_linenumber")
-    k = F.when(order % 3 == 0, F.lit(1000)).otherwise(order)
-    r = order * 8 + line
-    external_id = F.concat(F.lit("L"), _padded(r, 10))
-    name = F.concat(F.lit("Part "), _text(F.col("l_partkey")))
-    return _extract(lines, "ERP_A", k, r, external_id, name)
+    return _extract(
+        spark.read.parquet(f"{sf_dir}/lineitem.parquet"),
+        "ERP_A",
+        "if(l_orderkey % 3 = 0, 1000, l_orderkey)",
+        "l_orderkey * 8 + l_linenumber",
+        "concat('L', lpad(r, 10, '0'))",
+        "concat('Part ', l_partkey)",
+    )
 
 
-def write_csv(extract: DataFrame, path: str, ordered_by: str | None = None) -> None:
+def write_csv(extract: DataFrame, path: str, ordered_by: Sequence[str] = ()) -> None:
     """Writes an extract as CSV with cells kept exactly as they are.
 
     With ``ordered_by`` the files, in path order, hold the rows in that order.
     """
-    if ordered_by is not None:
-        extract = extract.repartitionByRange(ordered_by).sortWithinPartitions(ordered_by)
+    if ordered_by:
+        extract = extract.repartitionByRange(*ordered_by).sortWithinPartitions(*ordered_by)
     (
         extract.write.option("header", True)
         .option("escape", '"')

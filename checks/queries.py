@@ -66,10 +66,11 @@ def _per_source(build: Callable[[DataFrame, str], DataFrame]) -> Query:
 
 
 def _csv(spark: SparkSession, sf_dir: str, source_system: str, *, in_order: bool = False, drop: str = "") -> str:
-    """Writes an extract as CSV, optionally in external-id order, and returns its folder."""
+    """Writes an extract as CSV, optionally in the order of ids and ties, and returns its folder."""
     folder = scratch_folder(spark, f"extract-{source_system}")
     frame = extract(spark, sf_dir, source_system).drop(drop)
-    write_csv(frame, folder, provider_for(source_system).mapping["external_id"] if in_order else None)
+    mapping = provider_for(source_system).mapping
+    write_csv(frame, folder, [mapping[f] for f in ("external_id", "name", "email")] if in_order else ())
     return folder
 
 

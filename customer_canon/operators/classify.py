@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from customer_canon.functions import country_code, tax_id_is_valid
-from customer_canon.operators.mapping import canonical_columns, normalize, quoted, raw_record
+from customer_canon.operators.mapping import canonical_columns, normalize, prepare, quoted, raw_record
 from customer_canon.operators.required import check_required_fields, required_source_fields
 from customer_canon.rules import STRICT, Rules
 from customer_canon.schema import CANONICAL_FIELDS, REJECTED_FIELDS
@@ -46,6 +46,10 @@ def _unsupported_detail() -> Column:
     return F.concat(F.lit(f"{UNSUPPORTED_COUNTRY}: "), F.coalesce(_SOURCE_COUNTRY, F.lit("(missing)")))
 
 
+def _invalid_detail() -> Column:
+    return F.concat(F.lit(f"{INVALID_TAX_ID} for country "), F.coalesce("country", _SOURCE_COUNTRY, F.lit("(missing)")))
+
+
 def classify(source: DataFrame, provider: Provider, rules: Rules = STRICT, keep_raw: bool = True) -> DataFrame:
     """Canonical columns plus ``is_valid``, ``reason``, ``reason_detail`` and ``raw_record``.
 
@@ -55,8 +59,7 @@ def classify(source: DataFrame, provider: Provider, rules: Rules = STRICT, keep_
     one, is passed on. Raises IngestionError before any job if a required
     column is absent.
     """
-    if provider.prepare is not None:
-        source = source.transform(provider.prepare)
+    source = prepare(source, provider)
     check_required_fields(source.columns, required_source_fields(provider))
 
     carried = [F.col(INPUT_POSITION)] if INPUT_POSITION in source.columns else []
@@ -73,16 +76,16 @@ def classify(source: DataFrame, provider: Provider, rules: Rules = STRICT, keep_
         mapped = mapped.withColumn("country", F.when(known, country).otherwise(F.raise_error(_unsupported_detail())))
 
     is_rejected = ~F.col("is_valid")
-    no_country = F.col("country").isNull()
+    by_country = F.col("country").isNull() & F.lit(rules.on_unsupported_country == "reject")
     return (
         normalize(mapped, rules)
         .withColumn("is_valid", _evaluated_once(_acceptance(rules)))
         .select(
             *CANONICAL_FIELDS,
             "is_valid",
-            F.when(is_rejected & no_country, UNSUPPORTED_COUNTRY).when(is_rejected, INVALID_TAX_ID).alias("reason"),
-            F.when(is_rejected & no_country, _unsupported_detail())
-            .when(is_rejected, F.concat(F.lit(f"{INVALID_TAX_ID} for country "), F.col("country")))
+            F.when(is_rejected & by_country, UNSUPPORTED_COUNTRY).when(is_rejected, INVALID_TAX_ID).alias("reason"),
+            F.when(is_rejected & by_country, _unsupported_detail())
+            .when(is_rejected, _invalid_detail())
             .alias("reason_detail"),
             *([F.when(is_rejected, F.col("raw_record")).alias("raw_record")] if keep_raw else []),
             *carried,

@@ -28,8 +28,13 @@ def canonical_columns(columns: list[str], provider: Provider) -> list[Column]:
     return [pick(field) for field in CANONICAL_FIELDS]
 
 
+def prepare(source: DataFrame, provider: Provider) -> DataFrame:
+    return source if provider.prepare is None else source.transform(provider.prepare)
+
+
 def map_columns(source: DataFrame, provider: Provider) -> DataFrame:
     """Chooses and renames the provider's columns; everything else is pruned from the scan."""
+    source = prepare(source, provider)
     return source.select(canonical_columns(source.columns, provider))
 
 

@@ -53,7 +53,11 @@ class RunReport:
 def process_csv(
     spark: SparkSession, path: str | list[str], provider: Provider, rules: Rules = STRICT, multi_line: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(processed, rejected) of a CSV extract, lazily."""
+    """(processed, rejected) of a CSV extract, lazily.
+
+    For first-wins in file order, classify ``with_input_position(scan_csv(...))``
+    instead, as ``run`` does; without it the order is by external_id.
+    """
     return process(scan_csv(spark, path, multi_line), provider, rules)
 
 

@@ -26,14 +26,11 @@ class Rules:
         logic, so a row for which it is unknown lands in neither output.
     trim
         characters removed from both ends of a tax ID.
-    null_text
-        text that stands for a null inside an identity key; None keeps the key null.
     """
 
     on_unsupported_country: Literal["reject", "pass", "fail"] = "reject"
     total: bool = True
     trim: str = UNICODE_SPACE
-    null_text: str | None = None
 
     def __post_init__(self) -> None:
         if self.on_unsupported_country not in ("reject", "pass", "fail"):
@@ -41,8 +38,13 @@ class Rules:
                 f"on_unsupported_country must be reject, pass or fail, not {self.on_unsupported_country!r}"
             )
 
+    @property
+    def null_text(self) -> str | None:
+        """What stands for a null inside an identity key, where rules let nulls get that far."""
+        return "None" if self.on_unsupported_country == "pass" or not self.total else None
+
 
 STRICT = Rules()
 
 # The looser routing of a plain DataFrame implementation; loses rows, see README.
-DF_PARITY = Rules(on_unsupported_country="pass", total=False, trim=" ", null_text="None")
+DF_PARITY = Rules(on_unsupported_country="pass", total=False, trim=" ")

@@ -98,6 +98,7 @@ def test_prepare_runs_before_the_mapping(spark):
     renaming = Provider("ERP_B", B.mapping, prepare=lambda df: df.withColumnRenamed("vat", "vat_number"))
     source = source_b(spark, ("C1", "n", "B12345678", "ES", "e")).withColumnRenamed("vat_number", "vat")
     assert processed(classify(source, renaming)).first().tax_id == "B12345678"
+    assert map_columns(source, renaming).first().tax_id == "B12345678"
 
 
 def test_provenance(spark):
@@ -175,6 +176,10 @@ def test_unsupported_country_can_pass_or_abort(spark):
     source = source_b(spark, *ODD_ROWS[:1])
     passing, _ = process(source, B, replace(STRICT, on_unsupported_country="pass"))
     assert passing.first().country is None
+    no_tax_id = source_b(spark, ("C1", "n", None, "Italy", None))
+    kept, bad = process(no_tax_id, B, replace(STRICT, on_unsupported_country="pass"))
+    assert kept.count() == 0
+    assert bad.first().reason_detail == "Invalid tax ID for country Italy"
     failing, _ = process(source, B, Rules(on_unsupported_country="fail"))
     with pytest.raises(PySparkException, match="Unsupported country: Italy"):
         failing.collect()
@@ -251,6 +256,14 @@ def test_golden_counts_parity(spark, sf_dir, key):
     assert (verdicts[True], verdicts[False], verdicts.get(None, 0), unique) == GOLDEN_PARITY[key]
 
 
+def test_customers_of_unknown_countries_stay_apart(spark):
+    rules = replace(STRICT, on_unsupported_country="pass")
+    rows = [("1", "a", "X1", "Italy", None), ("2", "b", "X2", "Italy", None), ("3", "c", "X1", None, None)]
+    good, _ = process(source_b(spark, *rows), B, rules)
+    ids = {r.external_id: r.customer_id for r in identify(first_per_customer(good), rules).collect()}
+    assert ids.keys() == {"1", "2"} and None not in ids.values() and ids["1"] != ids["2"]
+
+
 # --- identity and first-wins -------------------------------------------------
 
 
