@@ -34,7 +34,7 @@ def median_seconds(work: Callable[[], object], repeats: int) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("customer-canon-bench")
