@@ -14,12 +14,9 @@ from customer_canon.functions import clean_tax_id, country_code, identity_key, t
 from customer_canon.operators import (
     any_per_customer,
     classify,
-    first_per_customer,
     identify,
     map_columns,
     process,
-    processed,
-    rejected,
     required_source_fields,
     transform,
     with_provenance,

@@ -9,22 +9,27 @@ from pyspark.sql import functions as F
 INPUT_POSITION = "__input_position"
 
 
+def _renamed(columns: list[str]) -> bool:
+    """Whether Spark may have renamed header cells: blank ones to ``_c`` and their place,
+    repeated ones by appending their place."""
+    stems = [name.removesuffix(str(place)).lower() for place, name in enumerate(columns) if name.endswith(str(place))]
+    return "_c" in stems or len(set(stems)) < len(stems)
+
+
 def scan_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """All columns of one or more CSV files (any URI Spark can read), as strings.
 
     Nothing is inferred, so only the header is read up front. Quotes inside
     quoted cells are doubled. Every file's own header is checked against the
     first one's: a file with other columns fails the job instead of having its
-    cells read under wrong names. Line breaks inside quotes need ``multi_line``,
-    which makes each file one unsplittable task; leave it off for large files.
+    cells read under wrong names. (Not if the header has blank or repeated names,
+    as no file would agree with the names Spark makes up for those.)
+    Line breaks inside quotes need ``multi_line``, which makes each file one
+    unsplittable task; leave it off for large files.
     """
-    return (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    scan = reader.option("enforceSchema", False).csv(path)
+    return reader.option("enforceSchema", True).csv(path) if _renamed(scan.columns) else scan
 
 
 def with_input_position(scan: DataFrame) -> DataFrame:

@@ -99,6 +99,15 @@ def test_unusable_headers(spark, tmp_path, text, missing):
         process_csv(spark, str(tmp_path / "x"), A)
 
 
+@pytest.mark.parametrize("more", [",note,NOTE", ",", ",,note"], ids=["repeated", "blank", "both"])
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_odd_names_of_unmapped_columns_do_no_harm(spark, paths, more, multi_line):
+    source, processed, rejected = paths
+    put(source, A_HEADER.strip() + more + "\n1,a,B12345678,ES,e,x,y\n2,b,B1,ES,e,x,y\n")
+    report = run(spark, source, processed, rejected, A, multi_line=multi_line)
+    assert (report.processed_count, report.rejected_count) == (1, 1)
+
+
 def test_input_position_follows_the_file_whatever_the_splits(spark, tmp_path):
     lines = [f"{i:06d},n{i},B{i % 50:08d},ES,e{i}\n" for i in range(3000)]
     put(tmp_path / "x", A_HEADER + "".join(lines[:2000]), "a.csv")
