@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from customer_canon.llm import licenses, mixing, sharding, urls
+from customer_canon.llm import licenses, mixing, packing, quality, rules, sharding, stats, urls
 from customer_canon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,11 +40,47 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        stats.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    learned = rules.learn_rules(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    failed = rules.base_failed()
+    return stats.with_counts(docs).select(
+        "doc_id",
+        *[f"counts.{c}" for c in counts],
+        failed.alias("base_failed"),
+        (~failed & rules.rule_verdict(learned)).alias("kept"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
     "op3_licenses": op3_licenses,
     "op5_mixing": op5_mixing,
+    "op6_quality": op6_quality,
+    "op7_packing": op7_packing,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 ORACLES: dict[str, str] = {
