@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from customer_canon.llm import licenses, mixing, packing, quality, rules, sharding, stats, urls
+from customer_canon.llm import licenses, mixing, packing, pii, quality, rules, sharding, stats, urls
 from customer_canon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"),
+        pii.as_text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
@@ -81,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_personal_data": op9_personal_data,
 }
 
 ORACLES: dict[str, str] = {
