@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from customer_canon.llm import licenses, mixing, packing, pii, quality, rules, sharding, stats, urls
+from customer_canon.llm import licenses, mixing, packing, pii, quality, rules, sharding, stats, urls, vectors
 from customer_canon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,10 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
@@ -92,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op7_packing": op7_packing,
     "op8_quality_rules": op8_quality_rules,
     "op9_personal_data": op9_personal_data,
+    "op10_embedding_duplicates": op10_embedding_duplicates,
 }
 
 ORACLES: dict[str, str] = {
