@@ -16,24 +16,48 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """``frame`` as written to the reliable checkpoint folder, so that later steps do not compute it again.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder of checkpoints: ``spark.checkpoint.dir``, which all executors share.
 
-    The folder is ``spark.checkpoint.dir``, which all executors share; Spark's cleaner removes the files.
     A local session without that setting gets a folder of its own; a cluster session must name one.
     """
-    session = frame.sparkSession
-    context = session.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = session.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
             if not context.master.startswith("local"):
                 raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="corpus-checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """``frame`` as written to the folder of checkpoints, so that later steps do not compute it again.
+
+    Spark's cleaner removes the files once nothing refers to them, if ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set.
+    """
+    checkpoint_folder(frame.sparkSession)
     return frame.checkpoint()
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder on whatever storage it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Rows of a written table that may be sent to every executor.
+MOST_BROADCAST = 50_000
+
+
+def broadcast_if_small(frame: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """``frame``, written and counted; to be broadcast if it has at most ``most`` rows, else joined by a shuffle."""
+    frame = cut(frame)
+    return F.broadcast(frame) if frame.count() <= most else frame
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lowered, other letters in any fixed case.
 

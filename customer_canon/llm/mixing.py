@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import WORD, cut
+from customer_canon.llm.common import WORD, broadcast_if_small, cut
 
 #: Hex digits of the key that number the ranges of a source: 16 ** 3 ranges.
 RANGE_DIGITS = 3
@@ -64,20 +64,13 @@ def source_targets(
     return ranked.select("source", "source_size", target.alias("target"))
 
 
-def _same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition &= left[name].eqNullSafe(right[name])
-    return condition
-
-
 def source_cuts(
     keyed: DataFrame,
     weights: Sequence[int] = (3, 1, 2),
     share: float = 1.5,
     max_epochs: int = 2,
 ) -> DataFrame:
-    """From ``source, key, size`` rows: ``source, source_size, target, epochs, cut_key, cut_words``.
+    """From ``source, key, size`` rows: ``mix_of, source_size, target, epochs, cut_key, cut_words``, by source.
 
     Documents with a smaller key than ``cut_key`` are taken once more than ``epochs`` times, those with that
     key give ``cut_words`` words more, later ones nothing more.
@@ -95,8 +88,8 @@ def source_cuts(
     )
     before = Window.partitionBy("source").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("earlier", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    rest = sources.select(F.col("source").alias("of"), "rest")
-    last_span = (
+    rest = broadcast_if_small(sources.select(F.col("source").alias("of"), "rest"))
+    last_span = broadcast_if_small(
         spans.join(rest, F.col("source").eqNullSafe(F.col("of")))
         .where((F.col("earlier") <= F.col("rest")) & (F.col("rest") < F.col("earlier") + F.col("words")))
         .select(F.col("source").alias("of"), F.col("span").alias("in_span"), F.col("rest") - F.col("earlier"))
@@ -117,7 +110,8 @@ def source_cuts(
             F.floor(F.col("left") / F.col("copies")).alias("cut_words"),
         )
     )
-    return sources.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left").drop("of", "rest")
+    sources = sources.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left").drop("of", "rest")
+    return broadcast_if_small(sources.withColumnRenamed("source", "mix_of"))
 
 
 def words_taken(size: Column, key: Column) -> Column:
@@ -141,8 +135,8 @@ def keyed_documents(docs: DataFrame, seed: str = "mix") -> DataFrame:
 def mix_plan(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every document (see ``source_cuts`` for the rules)."""
     keyed = cut(keyed_documents(docs, seed))
-    cuts = source_cuts(keyed, **rules).withColumnRenamed("source", "of")
-    return keyed.join(cuts, F.col("source").eqNullSafe(F.col("of"))).select(
+    cuts = source_cuts(keyed, **rules)
+    return keyed.join(cuts, F.col("source").eqNullSafe(F.col("mix_of"))).select(
         "doc_id", "size", "source_size", "target", words_taken(F.col("size"), F.col("key")).alias("taken")
     )
 
@@ -154,7 +148,7 @@ def mixture(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
     word is taken, among them those without words, are left out.
     """
     names = docs.columns
-    cuts = source_cuts(cut(keyed_documents(docs, seed)), **rules).withColumnRenamed("source", "mix_of")
+    cuts = source_cuts(cut(keyed_documents(docs, seed)), **rules)
     size, key = word_count(F.col("text")), mix_key(F.col("doc_id"), F.col("text"), seed)
     taken = docs.join(cuts, F.col("source").eqNullSafe(F.col("mix_of"))).select(
         *[docs[c] for c in names], size.alias("mix_size"), words_taken(size, key).alias("mix_taken")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import cut
+from customer_canon.llm.common import broadcast_if_small, cut
 
 #: Kinds in the order of the result, and what they look like: fixed values, in the form that cannot run long.
 PATTERNS = {
@@ -223,10 +223,6 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-#: Rows with spans from contexts that are sent to every executor; more are joined by a shuffle of the texts.
-MOST_BROADCAST = 50_000
-
-
 def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with every span in the text replaced by its kind in capitals and brackets.
 
@@ -236,9 +232,7 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     names = docs.columns
     keyed = _keyed(docs, id_col, text_col)
     slim = cut(base_spans(keyed.select(*KEY, text_col), text_col).drop(text_col))
-    more = cut(_more(slim, **how))
-    if more.count() <= MOST_BROADCAST:
-        more = F.broadcast(more)
+    more = broadcast_if_small(_more(slim, **how))
     spans = F.array_sort(F.concat(_base(), F.coalesce("more", F.array())))
     text = F.col(text_col)
 

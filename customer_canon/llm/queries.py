@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from customer_canon.llm import licenses, mixing, packing, pii, quality, rules, sharding, stats, urls, vectors
+from customer_canon.llm import licenses, mixing, near, packing, pii, quality, rules, sharding, stats, urls, vectors
 from customer_canon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(docs).drop("spans")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.duplicate_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
@@ -91,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
     "op3_licenses": op3_licenses,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
     "op7_packing": op7_packing,
