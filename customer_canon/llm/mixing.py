@@ -159,9 +159,8 @@ def mixture(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
     parts = taken.where(F.col("mix_taken") > 0).select(
         *names, "mix_size", F.explode(F.concat(words, F.when(rest > 0, F.array(rest.cast("long"))).otherwise(F.array()))).alias("mix_words")
     )
-    first = F.regexp_extract(
-        F.col("text"), F.concat(F.lit("^(?s)(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){"), F.col("mix_words"), F.lit("}")), F.lit(0)
-    )
+    each_word = F.regexp_extract_all(F.col("text"), F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0))
+    first = F.array_join(F.slice(each_word, F.lit(1), F.col("mix_words").cast("int")), "")
     cut_text = F.when(F.col("mix_words") == F.col("mix_size"), F.col("text")).otherwise(first)
     result = parts.withColumn("text", cut_text)
     if "n_chars" in names:
