@@ -25,8 +25,7 @@ ORACLE_SQL = None
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Those that the quality classifier, trained on the labelled ones among them, does not reject."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
-    scored = quality.score_quality(docs, model, into="quality_score")
-    return scored.where(scored["quality_score"] >= LEAST_QUALITY).select(*docs.columns)
+    return quality.good_documents(docs, model, LEAST_QUALITY)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

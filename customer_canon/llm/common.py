@@ -16,6 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def as_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column ``row``, so that no name of theirs can clash with an operator's own."""
+    return docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+
+
+def columns_of(names: list[str], **changed: Column) -> list[Column]:
+    """The columns of ``row`` under their names again, some with another value."""
+    return [changed.get(name, F.col("row").getField(name)).alias(name) for name in names]
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder of checkpoints: ``spark.checkpoint.dir``, which all executors share.
 

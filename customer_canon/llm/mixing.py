@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import WORD, broadcast_if_small, cut
+from customer_canon.llm.common import WORD, as_rows, broadcast_if_small, columns_of, cut
 
 #: Hex digits of the key that number the ranges of a source: 16 ** 3 ranges.
 RANGE_DIGITS = 3
@@ -147,25 +147,22 @@ def mixture(docs: DataFrame, seed: str = "mix", **rules) -> DataFrame:
     Keeps the columns of ``docs``; ``n_chars``, if there, is that of the text kept. Documents of which no
     word is taken, among them those without words, are left out.
     """
-    names = docs.columns
     cuts = source_cuts(cut(keyed_documents(docs, seed)), **rules)
-    size, key = word_count(F.col("text")), mix_key(F.col("doc_id"), F.col("text"), seed)
-    taken = docs.join(cuts, F.col("source").eqNullSafe(F.col("mix_of"))).select(
-        *[docs[c] for c in names], size.alias("mix_size"), words_taken(size, key).alias("mix_taken")
-    )
-    whole = F.floor(F.col("mix_taken") / F.col("mix_size")).cast("int")
-    rest = (F.col("mix_taken") % F.col("mix_size")).cast("int")
-    words = F.array_repeat(F.col("mix_size"), whole)
-    parts = taken.where(F.col("mix_taken") > 0).select(
-        *names, "mix_size", F.explode(F.concat(words, F.when(rest > 0, F.array(rest.cast("long"))).otherwise(F.array()))).alias("mix_words")
+    rows = as_rows(docs).select("row", "row.doc_id", "row.text", "row.source")
+    rows = rows.withColumn("size", word_count(F.col("text"))).withColumn("key", mix_key(F.col("doc_id"), F.col("text"), seed))
+    taken = rows.join(cuts, F.col("source").eqNullSafe(F.col("mix_of"))).select(
+        "row", "text", "size", words_taken(F.col("size"), F.col("key")).alias("taken")
     )
+    whole, rest = F.floor(F.col("taken") / F.col("size")).cast("int"), F.col("taken") % F.col("size")
+    each = F.concat(F.array_repeat("size", whole), F.when(rest > 0, F.array(rest)).otherwise(F.array()))
+    parts = taken.where("taken > 0").select("row", "text", "size", F.explode(each).alias("words"))
     each_word = F.regexp_extract_all(F.col("text"), F.lit("[\\x20\\x09-\\x0D]*" + WORD), F.lit(0))
-    first = F.array_join(F.slice(each_word, F.lit(1), F.col("mix_words").cast("int")), "")
-    cut_text = F.when(F.col("mix_words") == F.col("mix_size"), F.col("text")).otherwise(first)
-    result = parts.withColumn("text", cut_text)
-    if "n_chars" in names:
-        result = result.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return result.select(*names)
+    first = F.array_join(F.slice(each_word, F.lit(1), F.col("words").cast("int")), "")
+    parts = parts.withColumn("text", F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(first))
+    changed = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return parts.select(*columns_of(docs.columns, **changed))
 
 
 #: DuckDB's version of ``mix_plan`` with the default rules.

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import broadcast_if_small, cut
+from customer_canon.llm.common import as_rows, broadcast_if_small, columns_of, cut
 from customer_canon.llm.components import components
 
 #: Shingles of a sketch and number of sketches. Texts of few shingles get smaller sketches, so that one edit leaves
@@ -330,7 +330,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Of a group it is the one with the smallest id; if that id stands on several equal rows, one of them.
     """
-    names = docs.columns
     found = near_duplicates(docs, id_col, text_col, **how)
     winner = Window.partitionBy("component").orderBy(F.col("least_id").asc_nulls_last(), "key_a", "key_b")
     found = cut(found.withColumn("stays", F.row_number().over(winner) == 1))
@@ -345,15 +344,14 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gone = broadcast_if_small(rows.where(~F.col("stays")).select("key_a", "key_b", "id").toDF(*row), MOST_GONE)
     again = cut(rows.where(F.col("stays") & (F.col("copies") > 1)).select("key_a", "key_b", "id").toDF(*row))
 
-    text = F.col(text_col)
-    keys = [F.xxhash64(F.lit(0), text), F.xxhash64(F.lit(1), text), F.col(id_col)]
-
-    def listed() -> Column:
-        same = [F.col(name).eqNullSafe(key) for name, key in zip(row, keys)]
-        return same[0] & same[1] & same[2]
-
-    kept = docs.join(gone, listed(), "left_anti")
+    whole = as_rows(docs)
+    text, doc_id = F.col("row").getField(text_col), F.col("row").getField(id_col)
+    keys = [F.xxhash64(F.lit(0), text), F.xxhash64(F.lit(1), text), doc_id]
+    same = [F.col(name).eqNullSafe(key) for name, key in zip(row, keys)]
+    listed = same[0] & same[1] & same[2]
+    kept = whole.join(gone, listed, "left_anti")
     if not again.isEmpty():
-        repeated = docs.join(again, listed(), "left_semi").dropDuplicates([id_col, text_col])
-        kept = kept.join(again, listed(), "left_anti").unionByName(repeated)
-    return kept.select(*names)
+        repeated = whole.join(again, listed, "left_semi").withColumns({"id": doc_id, "text": text})
+        repeated = repeated.dropDuplicates(["id", "text"]).select("row")
+        kept = kept.join(again, listed, "left_anti").unionByName(repeated)
+    return kept.select(*columns_of(docs.columns))

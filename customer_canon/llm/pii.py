@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import broadcast_if_small, cut
+from customer_canon.llm.common import as_rows, broadcast_if_small, columns_of, cut
 
 #: Kinds in the order of the result, and what they look like: fixed values, in the form that cannot run long.
 PATTERNS = {
@@ -229,12 +229,14 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Of spans that overlap, the first names the replacement of them all. ``n_chars``, if there, is that of the new text.
     Other columns stay as they are.
     """
-    names = docs.columns
-    keyed = _keyed(docs, id_col, text_col)
-    slim = cut(base_spans(keyed.select(*KEY, text_col), text_col).drop(text_col))
+    rows = as_rows(docs).select(
+        "row", F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).alias("text")
+    )
+    keyed = _keyed(rows, "id", "text")
+    slim = cut(base_spans(keyed.drop("row"), "text").drop("text"))
     more = broadcast_if_small(_more(slim, **how))
     spans = F.array_sort(F.concat(_base(), F.coalesce("more", F.array())))
-    text = F.col(text_col)
+    text = F.col("text")
 
     def replaced(so_far: Column, span: Column) -> Column:
         fresh = span["start"] >= so_far["at"]
@@ -249,14 +251,12 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
         return F.concat(so_far["out"], F.substring(text, so_far["at"] + 1, F.length(text)))
 
     clean = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), replaced, closed)
-    result = (
-        base_spans(keyed, text_col)
-        .join(more, list(KEY), "left")
-        .withColumn(text_col, F.when(F.size(spans) > 0, clean).otherwise(text))
-    )
-    if "n_chars" in names:
-        result = result.withColumn("n_chars", F.length(text_col).cast(docs.schema["n_chars"].dataType))
-    return result.select(*names)
+    clean = F.when(F.size(spans) > 0, clean).otherwise(text)
+    result = base_spans(keyed, "text").join(more, list(KEY), "left").select("row", clean.alias("clean"))
+    changed = {text_col: F.col("clean")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length("clean").cast(docs.schema["n_chars"].dataType)
+    return result.select(*columns_of(docs.columns, **changed))
 
 
 def _entry(start: Column, end: Column, kind: Column) -> Column:

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import cut
+from customer_canon.llm.common import as_rows, columns_of, cut
 from customer_canon.llm.stats import RATIO_NAMES, labelled_ratios, ratio_array
 
 #: Labelled rows learned from at most, random features, parts that sum the equations, bins of raw scores per unit.
@@ -121,7 +121,7 @@ def fit_quality(
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text", into: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1, higher for better texts."""
+    """``docs`` with a score from 0 to 1, higher for better texts; a column of that name is replaced."""
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
@@ -130,3 +130,9 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
         return pd.Series(np.interp(_raw(model, ratio_array(texts)), model.knots, model.levels))
 
     return docs.withColumn(into, score(F.col(text_col)))
+
+
+def good_documents(docs: DataFrame, model: QualityModel, least: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The documents that score ``least`` or more. Columns stay as they are."""
+    rows = as_rows(docs).select("row", F.col("row").getField(text_col).alias("text"))
+    return score_quality(rows, model).where(F.col("score") >= least).select(*columns_of(docs.columns))

@@ -20,7 +20,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from customer_canon.llm.stats import RATIO_NAMES, labelled_ratios, ratio_columns
+from customer_canon.llm.common import as_rows, columns_of
+from customer_canon.llm.stats import RATIO_NAMES, labelled_ratios, ratio_columns, with_counts
 
 MOST_LABELLED = 20_000
 #: Steps of each statistic that thresholds are chosen from.
@@ -145,3 +146,9 @@ def base_failed(counts: str = "counts") -> Column:
     """The fixed rule that comes before the learned ones."""
     words, repeats = F.col(f"{counts}.n_words"), F.col(f"{counts}.n_repeat_words")
     return (words < 50) | (100 * repeats > 50 * words)
+
+
+def good_documents(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
+    """The documents that neither the base rule nor the learned ones reject. Columns stay as they are."""
+    rows = as_rows(docs).select("row", F.col("row").getField(text_col).alias("text"))
+    return with_counts(rows).where(~base_failed() & rule_verdict(rules)).select(*columns_of(docs.columns))
