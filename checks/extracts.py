@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from customer_canon.sources.providers import provider_for
 
@@ -69,7 +69,9 @@ def skewed_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def write_csv(extract: DataFrame, path: str, ordered_by: Sequence[str] = ()) -> None:
+def write_csv(
+    extract: DataFrame, path: str, ordered_by: Sequence[str | Column] = (), separator: str = ","
+) -> None:
     """Writes an extract as CSV with cells kept exactly as they are.
 
     With ``ordered_by`` the files, in path order, hold the rows in that order.
@@ -79,6 +81,7 @@ def write_csv(extract: DataFrame, path: str, ordered_by: Sequence[str] = ()) ->
     (
         extract.write.option("header", True)
         .option("escape", '"')
+        .option("sep", separator)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

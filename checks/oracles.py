@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from customer_canon.rules import UNICODE_SPACE
-
-_SPACES = " || ".join(f"chr({ord(c)})" for c in UNICODE_SPACE)
+# Code points of white space that is trimmed, spelled out anew.
+_SPACES = " || ".join(
+    f"chr({point})"
+    for point in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+)
 
 
 def _extract(source_system: str, table: str, k: str, r: str, external_id: str, name: str) -> str:
@@ -84,12 +86,15 @@ def _with(extract: str, trim: str, accept: str, part: str) -> str:
     ranked AS (
       SELECT *, row_number() OVER (
         PARTITION BY source_system, country, tax_id
-        ORDER BY external_id, name NULLS FIRST, email NULLS FIRST) AS place
+        ORDER BY external_id, name NULLS FIRST, email NULLS FIRST) AS place,
+        row_number() OVER (PARTITION BY source_system, country, tax_id ORDER BY external_id DESC) AS place_from_last
       FROM identified WHERE is_valid)"""
 
 
 _STRICT_ACCEPT = """country IS NOT NULL AND coalesce(tax_id <> '', FALSE)
       AND (country <> 'ES' OR length(tax_id) = 9)"""
+_ANY_COUNTRY_ACCEPT = """coalesce(tax_id <> '', FALSE)
+      AND (country IS DISTINCT FROM 'ES' OR length(tax_id) = 9)"""
 _PARITY_ACCEPT = "CASE WHEN country = 'ES' THEN length(tax_id) = 9 ELSE TRUE END"
 
 
@@ -174,7 +179,9 @@ ORACLES: dict[str, str] = {
     "sink_parquet_roundtrip": f"""{_strict(_EXTRACTS["ERP_B"])}
       SELECT {_CANONICAL}, customer_id FROM ranked WHERE place = 1""",
     "sink_json_roundtrip": f"""{_strict(_EXTRACTS["ERP_B"])}
-      SELECT {_CANONICAL}, {_REASON}, {_DETAIL}, source_tax_id AS vat_number FROM judged WHERE NOT is_valid""",
+      SELECT {_CANONICAL}, {_REASON}, {_DETAIL}, external_id AS raw_client_code, name AS raw_legal_name,
+        source_tax_id AS raw_vat_number, source_country AS raw_country, email AS raw_contact_email
+      FROM judged WHERE NOT is_valid""",
     "run_ledger": f"""{_STRICT_ALL}
       SELECT source_system, 'COMPLETED' AS status, CAST(NULL AS VARCHAR) AS error,
         count(*) FILTER (is_valid) AS processed_count, count(*) FILTER (NOT is_valid) AS rejected_count,
@@ -184,13 +191,31 @@ ORACLES: dict[str, str] = {
       UNION ALL SELECT 'ERP_B', 'FAILED', '{_LEDGER_ERROR}', NULL, NULL, NULL, NULL""",
     "job_end_to_end": f"""{_STRICT_ALL}
       SELECT 'processed' AS outcome, source_system, {_CANONICAL}, customer_id, CAST(NULL AS VARCHAR) AS reason,
-        CAST(NULL AS VARCHAR) AS reason_detail FROM ranked WHERE place = 1
+        CAST(NULL AS VARCHAR) AS reason_detail FROM ranked WHERE place_from_last = 1
       UNION ALL
       SELECT 'rejected', source_system, {_CANONICAL}, NULL, {_REASON}, {_DETAIL} FROM judged WHERE NOT is_valid""",
     "job_source_layout": f"""{_strict(_EXTRACTS["ERP_A"])}
       SELECT customer_id, name, tax_id, country, email, CAST(NULL AS VARCHAR) AS reason,
-        CAST(NULL AS VARCHAR) AS external_id FROM ranked WHERE place = 1
+        CAST(NULL AS VARCHAR) AS external_id FROM ranked WHERE place_from_last = 1
       UNION ALL
       SELECT NULL, NULL, source_tax_id, NULL, NULL, reason_detail, external_id
       FROM (SELECT *, {_DETAIL} FROM judged WHERE NOT is_valid)""",
+    "processed_any_country": f"""{_with(_ALL, _SPACES, _ANY_COUNTRY_ACCEPT, "{}")}
+      SELECT source_system, {_CANONICAL} FROM judged WHERE is_valid""",
+    "scan_csv_multi_line": f"""SELECT external_id AS customer_code, '"' || name || '", a' || chr(10) || 'b,"",' AS customer_name,
+      tax_id AS fiscal_id, country AS country_code, email AS email_address FROM ({_EXTRACTS["ERP_C"]})""",
+    "provider_prepare": f"""{_strict(_EXTRACTS["ERP_B"])}
+      SELECT external_id, upper(name) AS name, tax_id, country, email, customer_id, CAST(NULL AS VARCHAR) AS reason,
+        CAST(NULL AS VARCHAR) AS raw_name, CAST(NULL AS VARCHAR) AS vat_number FROM ranked WHERE place_from_last = 1
+      UNION ALL
+      SELECT external_id, upper(name), tax_id, country, email, NULL, {_REASON}, name, source_tax_id
+      FROM judged WHERE NOT is_valid""",
+    "rejected_malformed": f"""{_strict(_EXTRACTS["ERP_B"])},
+      lines AS (
+        SELECT *, CAST(substr(external_id, 2) AS BIGINT) % 7 AS turn,
+          external_id || ',' || name || ',' || coalesce(source_tax_id, '') AS three,
+          ',' || coalesce(source_country, '') || ',' || coalesce(email, '') AS two FROM judged)
+      SELECT external_id, CASE WHEN turn < 2 THEN 'Malformed record' ELSE {_REASON.removesuffix(" AS reason")} END AS reason,
+        CASE turn WHEN 0 THEN three || two || ',extra' WHEN 1 THEN three END AS raw_line
+      FROM lines WHERE turn < 2 OR NOT is_valid""",
 }

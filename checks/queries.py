@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from checks.scratch import drop_folder, scratch_folder
 from customer_canon.functions import clean_tax_id, country_code, identity_key, tax_id_is_valid
 from customer_canon.operators import (
     any_per_customer,
+    carried_columns,
     classify,
     identify,
     map_columns,
@@ -23,7 +25,7 @@ from customer_canon.operators import (
 )
 from customer_canon.plans.job import JobArgs, run_job
 from customer_canon.plans.run import process_csv, run, unique_customers
-from customer_canon.rules import DF_PARITY
+from customer_canon.rules import DF_PARITY, Rules
 from customer_canon.schema import (
     CANONICAL_FIELDS,
     CANONICAL_PROJECTION_FIELDS,
@@ -63,11 +65,11 @@ def _per_source(build: Callable[[DataFrame, str], DataFrame]) -> Query:
 
 
 def _csv(spark: SparkSession, sf_dir: str, source_system: str, *, in_order: bool = False, drop: str = "") -> str:
-    """Writes an extract as CSV, optionally in the order of ids and ties, and returns its folder."""
+    """Writes an extract as CSV, optionally from the last id to the first, and returns its folder."""
     folder = scratch_folder(spark, f"extract-{source_system}")
     frame = extract(spark, sf_dir, source_system).drop(drop)
     mapping = provider_for(source_system).mapping
-    write_csv(frame, folder, [mapping[f] for f in ("external_id", "name", "email")] if in_order else ())
+    write_csv(frame, folder, [F.col(mapping["external_id"]).desc()] if in_order else ())
     return folder
 
 
@@ -225,7 +227,7 @@ def sink_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = extract(spark, sf_dir, "ERP_B")
     write_rejected(process(source, provider_for("ERP_B"))[1], folder)
     back = read_rejected(spark, folder, rejected_schema(tuple(source.columns)))
-    return back.select(*REJECTED_FIELDS, F.col("raw_record.vat_number").alias("vat_number"))
+    return back.select(*REJECTED_FIELDS, *[F.col(f"raw_record.{c}").alias(f"raw_{c}") for c in source.columns])
 
 
 def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,6 +280,53 @@ def job_source_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.unionByName(flat, allowMissingColumns=True)
 
 
+@_per_source
+def processed_any_country(source: DataFrame, source_system: str) -> DataFrame:
+    return process(source, provider_for(source_system), Rules(on_unsupported_country="pass"))[0]
+
+
+def scan_csv_multi_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells with quotes, commas and line breaks, written and scanned."""
+    folder = scratch_folder(spark, "multi-line")
+    name = F.concat(F.lit('"'), "customer_name", F.lit('", a\nb,"",'))
+    write_csv(extract(spark, sf_dir, "ERP_C").withColumn("customer_name", name), folder)
+    return scan_csv(spark, folder, multi_line=True)
+
+
+def provider_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run whose provider changes cells first: survivors by file order, rejects with the cells of the file."""
+
+    def shouting(source: DataFrame) -> DataFrame:
+        own = ["client_code", F.upper("legal_name").alias("legal_name"), F.ltrim("vat_number").alias("vat_number")]
+        return source.select(*own, "country", "contact_email", *carried_columns(source))
+
+    provider = replace(provider_for("ERP_B"), prepare=shouting)
+    out, source_path = scratch_folder(spark, "job"), _csv(spark, sf_dir, "ERP_B", in_order=True)
+    run(spark, source_path, f"{out}/processed", f"{out}/rejected", provider)
+    drop_folder(spark, source_path)
+    schema = rejected_schema(tuple(provider.mapping.values()))
+    rejects = read_rejected(spark, f"{out}/rejected", schema).select(
+        *CANONICAL_FIELDS, "reason", F.col("raw_record.legal_name").alias("raw_name"), "raw_record.vat_number"
+    )
+    return read_processed(spark, f"{out}/processed").unionByName(rejects, allowMissingColumns=True)
+
+
+def rejected_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects of a run over lines of which two in seven have a cell too many or too few."""
+    out, source_path = scratch_folder(spark, "job"), scratch_folder(spark, "lines")
+    provider = provider_for("ERP_B")
+    names = list(provider.mapping.values())
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in names]
+    row = F.substr("client_code", F.lit(2)).cast("long") % 7
+    line = F.when(row == 0, F.concat_ws(",", *cells, F.lit("extra"))).when(row == 1, F.concat_ws(",", *cells[:3]))
+    lines = extract(spark, sf_dir, "ERP_B").select(line.otherwise(F.concat_ws(",", *cells)).alias(",".join(names)))
+    write_csv(lines, source_path, separator="\u0001")
+    run(spark, source_path, f"{out}/processed", f"{out}/rejected", provider)
+    drop_folder(spark, source_path)
+    schema = rejected_schema(tuple(names)).add("raw_line", "string")
+    return read_rejected(spark, f"{out}/rejected", schema).select("external_id", "reason", "raw_line")
+
+
 QUERIES: dict[str, Query] = {
     "map_source_a": _map_source("ERP_A"),
     "map_source_b": _map_source("ERP_B"),
@@ -308,6 +357,10 @@ QUERIES: dict[str, Query] = {
     "run_ledger": run_ledger,
     "job_end_to_end": job_end_to_end,
     "job_source_layout": job_source_layout,
+    "processed_any_country": processed_any_country,
+    "scan_csv_multi_line": scan_csv_multi_line,
+    "provider_prepare": provider_prepare,
+    "rejected_malformed": rejected_malformed,
 }
 
 

@@ -1,11 +1,12 @@
 from customer_canon.operators.classify import classify, process, processed, rejected
 from customer_canon.operators.dedup import any_per_customer, first_per_customer
 from customer_canon.operators.identify import identify
-from customer_canon.operators.mapping import map_columns, transform, with_provenance
+from customer_canon.operators.mapping import carried_columns, map_columns, transform, with_provenance
 from customer_canon.operators.required import check_required_fields, required_source_fields
 
 __all__ = [
     "any_per_customer",
+    "carried_columns",
     "check_required_fields",
     "classify",
     "first_per_customer",

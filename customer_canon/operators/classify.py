@@ -6,16 +6,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from customer_canon.functions import country_code, tax_id_is_valid
-from customer_canon.operators.mapping import canonical_columns, normalize, prepare, quoted, raw_record
+from customer_canon.operators.mapping import (
+    RAW_RECORD,
+    canonical_columns,
+    normalize,
+    prepare,
+    quoted,
+    with_raw_record,
+)
 from customer_canon.operators.required import check_required_fields, required_source_fields
 from customer_canon.rules import STRICT, Rules
 from customer_canon.schema import CANONICAL_FIELDS, REJECTED_FIELDS
-from customer_canon.sources.csv_scan import INPUT_POSITION
+from customer_canon.sources.csv_scan import INPUT_POSITION, MALFORMED_LINE
 from customer_canon.sources.providers import Provider
 
 # The texts users see in the rejects.
 INVALID_TAX_ID = "Invalid tax ID"
 UNSUPPORTED_COUNTRY = "Unsupported country"
+MALFORMED_RECORD = "Malformed record"
 
 _SOURCE_COUNTRY = "__source_country"
 
@@ -50,44 +58,67 @@ def _invalid_detail() -> Column:
     return F.concat(F.lit(f"{INVALID_TAX_ID} for country "), F.coalesce("country", _SOURCE_COUNTRY, F.lit("(missing)")))
 
 
-def classify(source: DataFrame, provider: Provider, rules: Rules = STRICT, keep_raw: bool = True) -> DataFrame:
+def classify(
+    source: DataFrame,
+    provider: Provider,
+    rules: Rules = STRICT,
+    keep_raw: bool = True,
+    evaluate_once: bool = False,
+) -> DataFrame:
     """Canonical columns plus ``is_valid``, ``reason``, ``reason_detail`` and ``raw_record``.
 
     One narrow projection over the source: no shuffle, no Python. The source
     record is kept for rejected rows only; ``keep_raw=False`` lets the scan skip
     the columns that are not mapped. An input position, if the source carries
-    one, is passed on. Raises IngestionError before any job if a required
-    column is absent.
+    one, is passed on. A malformed line, if the source marks those, is rejected as
+    such and kept in ``raw_line``. Raises IngestionError before any job if a
+    required column is absent.
+
+    ``evaluate_once`` keeps filters on the result above the cleaning. That is
+    worth it where all rows are read and filtered on the verdict several times; it
+    also keeps filters on source columns from reaching the scan.
     """
+    if keep_raw:
+        source = with_raw_record(source)
     source = prepare(source, provider)
     check_required_fields(source.columns, required_source_fields(provider))
 
+    marked = MALFORMED_LINE in source.columns
     carried = [F.col(INPUT_POSITION)] if INPUT_POSITION in source.columns else []
-    raw = [raw_record(source.columns).alias("raw_record")] if keep_raw else []
+    raw = [F.col(RAW_RECORD).alias("raw_record")] if keep_raw else []
+    line = [F.col(MALFORMED_LINE).alias("raw_line")] if marked else []
     mapped = source.select(
         *canonical_columns(source.columns, provider),
         quoted(provider.mapping["country"]).alias(_SOURCE_COUNTRY),
         *raw,
+        *line,
         *carried,
     )
+    malformed = F.col("raw_line").isNotNull() if marked else F.lit(False)
     if rules.on_unsupported_country == "fail":
         country = F.col("country")
-        known = country_code(country).isNotNull()
+        known = country_code(country).isNotNull() | malformed
         mapped = mapped.withColumn("country", F.when(known, country).otherwise(F.raise_error(_unsupported_detail())))
 
+    verdict = ~malformed & _acceptance(rules) if marked else _acceptance(rules)
     is_rejected = ~F.col("is_valid")
     by_country = F.col("country").isNull() & F.lit(rules.on_unsupported_country == "reject")
     return (
         normalize(mapped, rules)
-        .withColumn("is_valid", _evaluated_once(_acceptance(rules)))
+        .withColumn("is_valid", _evaluated_once(verdict) if evaluate_once else verdict)
         .select(
             *CANONICAL_FIELDS,
             "is_valid",
-            F.when(is_rejected & by_country, UNSUPPORTED_COUNTRY).when(is_rejected, INVALID_TAX_ID).alias("reason"),
-            F.when(is_rejected & by_country, _unsupported_detail())
+            F.when(malformed, MALFORMED_RECORD)
+            .when(is_rejected & by_country, UNSUPPORTED_COUNTRY)
+            .when(is_rejected, INVALID_TAX_ID)
+            .alias("reason"),
+            F.when(malformed, MALFORMED_RECORD)
+            .when(is_rejected & by_country, _unsupported_detail())
             .when(is_rejected, _invalid_detail())
             .alias("reason_detail"),
             *([F.when(is_rejected, F.col("raw_record")).alias("raw_record")] if keep_raw else []),
+            *(["raw_line"] if marked else []),
             *carried,
         )
     )
@@ -101,7 +132,7 @@ def processed(classified: DataFrame) -> DataFrame:
 
 def rejected(classified: DataFrame) -> DataFrame:
     """The other rows with their reason and, if kept, their source record."""
-    keep = [c for c in (*REJECTED_FIELDS, "raw_record") if c in classified.columns]
+    keep = [c for c in (*REJECTED_FIELDS, "raw_record", "raw_line") if c in classified.columns]
     return classified.filter("NOT is_valid").select(*keep)
 
 

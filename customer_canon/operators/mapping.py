@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from customer_canon.functions import clean_tax_id, country_code
 from customer_canon.rules import STRICT, Rules
 from customer_canon.schema import CANONICAL_FIELDS, CUSTOMER_FIELDS, REQUIRED_FIELDS
-from customer_canon.sources.csv_scan import INPUT_POSITION
+from customer_canon.sources.csv_scan import INPUT_POSITION, MALFORMED_LINE
 from customer_canon.sources.providers import Provider
 
+# Name of the column that carries a row as it was read.
+RAW_RECORD = "__raw_record"
+
+# Columns that a step before the mapping must pass on.
+CARRIED = (INPUT_POSITION, MALFORMED_LINE, RAW_RECORD)
+
 
 def quoted(column: str) -> Column:
     """A top-level column by its literal name, dots and backticks included."""
@@ -28,8 +34,20 @@ def canonical_columns(columns: list[str], provider: Provider) -> list[Column]:
     return [pick(field) for field in CANONICAL_FIELDS]
 
 
+def carried_columns(source: DataFrame) -> list[str]:
+    """What a ``prepare`` step that selects columns has to select besides its own."""
+    return [name for name in CARRIED if name in source.columns]
+
+
 def prepare(source: DataFrame, provider: Provider) -> DataFrame:
-    return source if provider.prepare is None else source.transform(provider.prepare)
+    """The provider's step before the mapping; ValueError if it loses a row's place, line or record."""
+    if provider.prepare is None:
+        return source
+    prepared = source.transform(provider.prepare)
+    lost = [name for name in carried_columns(source) if name not in prepared.columns]
+    if lost:
+        raise ValueError(f"The prepare step of {provider.source_system} must pass on {', '.join(lost)}")
+    return prepared
 
 
 def map_columns(source: DataFrame, provider: Provider) -> DataFrame:
@@ -60,4 +78,8 @@ def with_provenance(canonical: DataFrame, provider: Provider) -> DataFrame:
 
 def raw_record(columns: list[str]) -> Column:
     """The untouched source row as one struct."""
-    return F.struct(*[quoted(c) for c in columns if c != INPUT_POSITION])
+    return F.struct(*[quoted(c) for c in columns if c not in CARRIED])
+
+
+def with_raw_record(source: DataFrame) -> DataFrame:
+    return source.withColumn(RAW_RECORD, raw_record(source.columns))

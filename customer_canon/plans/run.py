@@ -14,13 +14,15 @@ from customer_canon.errors import IngestionError
 from customer_canon.operators.classify import classify, process, processed, rejected
 from customer_canon.operators.dedup import first_per_customer
 from customer_canon.operators.identify import identify
-from customer_canon.plans.settings import settings, shuffle_for
+from customer_canon.plans.paths import check_apart
+from customer_canon.plans.settings import ROWS_PER_SHUFFLE_PARTITION, settings, shuffle_for
 from customer_canon.rules import STRICT, Rules
 from customer_canon.schema import LEDGER, PROCESSED_FIELDS
 from customer_canon.sinks.files import check_rows_per_file, write_processed, write_rejected
 from customer_canon.sources.csv_scan import scan_csv, with_input_position
 from customer_canon.sources.providers import Provider
 
+RUNNING = "RUNNING"
 COMPLETED = "COMPLETED"
 FAILED = "FAILED"
 
@@ -39,7 +41,7 @@ class RunReport:
     input_source: str
     status: str
     started_at: datetime
-    finished_at: datetime
+    finished_at: datetime | None
     error: str | None = None
     processed_count: int | None = None
     rejected_count: int | None = None
@@ -70,7 +72,9 @@ def unique_customers(accepted: DataFrame, rules: Rules = STRICT) -> DataFrame:
     return identify(first_per_customer(accepted), rules).select(*PROCESSED_FIELDS)
 
 
-def _write_rejects(classified: DataFrame, path: str, layout: Layout | None) -> dict[str, int]:
+def _write_rejects(
+    classified: DataFrame, path: str, layout: Layout | None, files: int | None = None
+) -> dict[str, int]:
     """Writes the rejects and counts all rows, accepted ones included, on the way.
 
     This write has no shuffle, so the counts come from its result tasks, which
@@ -85,6 +89,8 @@ def _write_rejects(classified: DataFrame, path: str, layout: Layout | None) -> d
         F.count(F.when(valid & F.col("name").isNull(), 1)).alias("unnamed_count"),
     )
     rejects = rejected(counted)
+    if files is not None:
+        rejects = rejects.repartition(files)
     write_rejected(layout(rejects) if layout else rejects, path)
     return counts.get
 
@@ -114,12 +120,18 @@ def run(
     rejected_layout: Layout | None = None,
     cache: StorageLevel | None = None,
     ledger_path: str | None = None,
+    rows_per_partition: int = ROWS_PER_SHUFFLE_PARTITION,
+    reject_files: int | None = None,
 ) -> RunReport:
     """Runs one extract from CSV to both outputs and returns the report.
 
     A missing required column ends the run as FAILED, without output; every other
-    error is raised. The ledger row is written last, so COMPLETED means that both
-    outputs are there.
+    error is raised. The ledger gets a RUNNING row at the start and the final one
+    last: COMPLETED means that both outputs are there, RUNNING without another row
+    of the same start that the run broke off. No path may equal or contain another.
+
+    Under strict rules a line with more or fewer cells than the header is a reject
+    of its own kind, with the line as it was read.
 
     Each output is written straight from its own pass over the input: parsing
     twice costs no more than storing all rows in between and reading them back.
@@ -128,30 +140,35 @@ def run(
     split (compressed or ``multi_line`` files).
 
     The layouts are applied to the rows of an output just before they are
-    written, e.g. ``canonical_projection`` and ``raw_rejects``.
+    written, e.g. ``canonical_projection`` and ``raw_rejects``. The shuffle gets a
+    partition for each ``rows_per_partition`` accepted rows. ``reject_files`` bounds
+    the number of reject files, which is that of scan tasks otherwise.
     """
-    if len({input_path, processed_path, rejected_path}) < 3:
-        raise ValueError("input, processed and rejected paths must differ")
+    check_apart(
+        spark, input=input_path, processed=processed_path, rejected=rejected_path, ledger=ledger_path
+    )
     check_rows_per_file(rows_per_file)
     started_at = datetime.now(UTC)
 
     def report(status: str, **details: object) -> RunReport:
-        done = RunReport(provider.source_system, input_path, status, started_at, datetime.now(UTC), **details)
+        finished_at = None if status == RUNNING else datetime.now(UTC)
+        done = RunReport(provider.source_system, input_path, status, started_at, finished_at, **details)
         if ledger_path is not None:
             done.as_dataframe(spark).write.mode("append").json(ledger_path)
         return done
 
+    report(RUNNING)
     try:
-        source = with_input_position(scan_csv(spark, input_path, multi_line))
-        classified = classify(source, provider, rules, keep_raw)
+        source = with_input_position(scan_csv(spark, input_path, multi_line, keep_malformed=rules.total))
+        classified = classify(source, provider, rules, keep_raw, evaluate_once=True)
     except IngestionError as error:
         return report(FAILED, error=str(error))
 
     if cache is not None:
         classified = classified.persist(cache)
     try:
-        counts = _write_rejects(classified, rejected_path, rejected_layout)
-        with settings(spark, shuffle_for(spark, counts["processed_count"])):
+        counts = _write_rejects(classified, rejected_path, rejected_layout, reject_files)
+        with settings(spark, shuffle_for(spark, counts["processed_count"], rows_per_partition)):
             counts |= _write_unique(
                 processed(classified), processed_path, rules, processed_layout, rows_per_file
             )

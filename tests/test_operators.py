@@ -25,6 +25,7 @@ from customer_canon.operators import (
     with_provenance,
 )
 from customer_canon.schema import CANONICAL_FIELDS, REJECTED_FIELDS
+from customer_canon.operators.mapping import carried_columns
 from customer_canon.sources.providers import PROVIDERS
 
 B = provider_for("ERP_B")
@@ -201,7 +202,11 @@ def test_classification_is_one_narrow_stage(spark, sf_dir):
 
 def test_views_clean_once_and_prune_columns(spark, sf_dir):
     source = extract(spark, sf_dir, "ERP_B").withColumn("unmapped", F.rand())
-    for view in (processed(classify(source, B)), rejected(classify(source, B, keep_raw=False))):
+    views = (
+        processed(classify(source, B, evaluate_once=True)),
+        rejected(classify(source, B, keep_raw=False, evaluate_once=True)),
+    )
+    for view in views:
         text = plan_text(view)
         condition = next(line for line in text.splitlines() if line.startswith("Condition"))
         assert "upper" not in condition and "rand" not in text
@@ -304,3 +309,25 @@ def test_identity_adds_no_python_and_no_shuffle(spark, sf_dir):
     text = plan_text(identify(processed(classify(extract(spark, sf_dir, "ERP_B"), B))))
     assert "Python" not in text
     assert "Exchange" not in text
+
+
+def test_filters_on_source_columns_reach_the_scan(spark, sf_dir, tmp_path):
+    path = str(tmp_path / "extract")
+    extract(spark, sf_dir, "ERP_B").write.parquet(path)
+    good, _ = process(spark.read.parquet(path), B)
+    text = plan_text(good.where("external_id = 'O000000001'"))
+    assert "EqualTo(client_code,O000000001)" in text
+
+
+def test_prepare_must_pass_on_what_rows_carry(spark):
+    rows = spark.createDataFrame([("1", "a", " b12345678 ", "ES", "x")], "client_code string, legal_name string, vat_number string, country string, contact_email string")
+    narrow = Provider("ERP_B", B.mapping, prepare=lambda df: df.select(*B.mapping.values()))
+    with pytest.raises(ValueError, match="prepare step of ERP_B must pass on __raw_record"):
+        classify(rows, narrow)
+    trimming = Provider(
+        "ERP_B",
+        B.mapping,
+        prepare=lambda df: df.withColumn("vat_number", F.lit("B1")).select(*B.mapping.values(), *carried_columns(df)),
+    )
+    (row,) = rejected(classify(rows, trimming)).collect()
+    assert (row.tax_id, row.raw_record.vat_number) == ("B1", " b12345678 ")

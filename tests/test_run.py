@@ -2,6 +2,7 @@
 
 import io
 import json
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import redirect_stdout
 from operator import attrgetter, itemgetter
 from pathlib import Path
@@ -12,7 +13,7 @@ from pyspark.errors import PySparkException
 
 from checks.extracts import extract, skewed_extract, write_csv
 from checks.scratch import drop_folder, scratch_folder
-from customer_canon import IngestionError, process_csv, provider_for, run
+from customer_canon import DF_PARITY, IngestionError, process_csv, provider_for, run
 from customer_canon.plans.job import JobArgs, main, run_job
 from customer_canon.plans.settings import ROWS_PER_SHUFFLE_PARTITION, settings, shuffle_for
 from customer_canon.schema import (
@@ -131,6 +132,29 @@ def test_scan_reads_mapped_columns_only(spark, tmp_path):
     assert good.first().external_id == "1"
 
 
+NUMBERED = "customer_id,phone1,phone2,name,tax_id,country,email\n"
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+@pytest.mark.parametrize(
+    ("header", "cells"),
+    [(NUMBERED, "1,2"), (NUMBERED.replace("phone1,phone2", "note,NOTE"), "1,2"), (NUMBERED.replace("phone1,phone2", ","), ",")],
+    ids=["numbered", "repeated", "blank"],
+)
+def test_header_check_holds_for_names_like_those_spark_makes_up(spark, paths, header, cells, multi_line):
+    source, processed, rejected = paths
+    put(source, header + f"a,{cells},ann,B12345678,ES,\n", "a.csv")
+    put(source, header + f"b,{cells},bob,B22222222,ES,\n", "b.csv")
+    assert run(spark, source, processed, rejected, A, multi_line=multi_line).unique_count == 2
+    swapped = header.replace("name,tax_id", "tax_id,name")
+    put(source, swapped + f"b,{cells},B22222222,bob,ES,\n", "b.csv")
+    try:
+        report = run(spark, source, processed, rejected, A, multi_line=multi_line)
+        assert (report.status, report.error) == ("FAILED", "CSV headers differ between files")
+    except PySparkException as error:
+        assert "CSV header does not conform" in str(error)
+
+
 # --- sinks -------------------------------------------------------------------
 
 
@@ -204,14 +228,14 @@ def test_run_without_required_column_writes_nothing(spark, paths, tmp_path):
     assert (report.status, report.error) == ("FAILED", "Missing required fields: vat_number")
     assert report.processed_count is None
     assert not Path(processed).exists() and not Path(rejected).exists()
-    assert [r.status for r in spark.read.schema(LEDGER).json(ledger).collect()] == ["FAILED"]
+    assert sorted(r.status for r in spark.read.schema(LEDGER).json(ledger).collect()) == ["FAILED", "RUNNING"]
 
 
 def test_technical_errors_are_raised(spark, paths, tmp_path):
     ledger = tmp_path / "ledger"
     with pytest.raises(PySparkException):
         run(spark, *paths, B, ledger_path=str(ledger))
-    assert not ledger.exists()
+    assert [r.status for r in spark.read.schema(LEDGER).json(str(ledger)).collect()] == ["RUNNING"]
 
 
 def test_run_with_header_only(spark, paths):
@@ -244,6 +268,63 @@ def test_run_refuses_bad_arguments_before_working(spark, paths):
         run(spark, source, source, rejected, A)
 
 
+def test_malformed_lines_are_rejects(spark, paths):
+    source, processed, rejected = paths
+    put(source, A_HEADER + "1,a,B12345678,ES,e\n2,b\n3,c,B12345679,ES,e,extra\n4,d,B87654321,ES,torn\nrest\n")
+    report = run(spark, source, processed, rejected, A)
+    assert (report.processed_count, report.rejected_count) == (2, 3)
+    lines = {r["raw_line"] for r in json_rows(rejected)}
+    assert lines == {"2,b", "3,c,B12345679,ES,e,extra", "rest"}
+    assert {r["reason"] for r in json_rows(rejected)} == {"Malformed record"}
+    assert run(spark, source, processed, rejected, A, rules=DF_PARITY).rejected_count == 0
+
+
+@pytest.mark.parametrize(
+    ("inputs", "processed", "rejected", "ledger"),
+    [
+        ("in", "out", "out/rejected", None),
+        ("in", "in/", "rejected", None),
+        ("d/in", "d", "rejected", None),
+        ("in", "processed", "rejected", "rejected"),
+        ("in", "x/../in", "rejected", None),
+        ("in/*.csv", "in/processed", "rejected", None),
+    ],
+)
+def test_overlapping_paths_are_refused(spark, tmp_path, inputs, processed, rejected, ledger):
+    folder = tmp_path / inputs.removesuffix("/*.csv")
+    folder.mkdir(parents=True)
+    put(folder, A_HEADER + "1,a,B12345678,ES,e\n")
+    before = sorted(p.read_bytes() for p in tmp_path.rglob("*") if p.is_file())
+    at = [f"file:{tmp_path}/{inputs}", f"{tmp_path}/{processed}", f"{tmp_path}/{rejected}"]
+    with pytest.raises(ValueError, match="must differ"):
+        run(spark, *at, A, ledger_path=f"{tmp_path}/{ledger}" if ledger else None)
+    assert sorted(p.read_bytes() for p in tmp_path.rglob("*") if p.is_file()) == before
+
+
+def test_runs_in_two_threads(spark, tmp_path):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    for n in (0, 1):
+        lines = [f"{i},n{i},B{i % (50 + n):08d},ES,\n" for i in range(3000)]
+        put(tmp_path / f"in{n}", A_HEADER + "".join(lines))
+
+    def one(n):
+        at = [str(tmp_path / f"{kind}{n}") for kind in ("in", "processed", "rejected")]
+        return run(spark, *at, A, rows_per_partition=100).unique_count
+
+    with ThreadPoolExecutor(2) as pool:
+        assert list(pool.map(one, (0, 1))) == [50, 51]
+    assert spark.conf.get(key) == before
+
+
+def test_number_of_reject_files(spark, paths):
+    source, processed, rejected = paths
+    for n in range(4):
+        put(source, A_HEADER + f"{n},a,B1,ES,e\n", f"{n}.csv")
+    run(spark, source, processed, rejected, A, reject_files=1)
+    assert len(list(Path(rejected).glob("*.json"))) == 1 and len(json_rows(rejected)) == 4
+
+
 def test_runs_replace_outputs_and_append_to_the_ledger(spark, paths, tmp_path):
     source, processed, rejected = paths
     ledger = str(tmp_path / "ledger")
@@ -251,7 +332,8 @@ def test_runs_replace_outputs_and_append_to_the_ledger(spark, paths, tmp_path):
     for _ in range(2):
         run(spark, source, processed, rejected, A, ledger_path=ledger)
     assert len(parquet_rows(spark, processed)) == len(json_rows(rejected)) == 1
-    assert spark.read.schema(LEDGER).json(ledger).count() == 2
+    statuses = [r.status for r in spark.read.schema(LEDGER).json(ledger).collect()]
+    assert sorted(statuses) == ["COMPLETED"] * 2 + ["RUNNING"] * 2
 
 
 def test_run_conserves_rows(spark, sf_dir, paths):
@@ -308,6 +390,8 @@ def test_main(spark, paths, tmp_path, capsys):
     argv = ["--source_system", "ERP_A", *(part for pair in zip(names, paths) for part in pair)]
     assert main([*argv, "--ledger_path", str(tmp_path / "ledger")]) == 0
     assert "COMPLETED" in capsys.readouterr().out
+    options = ["--rules", "parity", "--cache", "--rows_per_file", "1", "--reject_files", "1", "--no_raw"]
+    assert main([*argv, *options]) == 0
     assert main([*argv, "--source_layout"]) == 0
     assert spark.read.parquet(paths[1]).columns == list(CANONICAL_PROJECTION_FIELDS)
     argv[1] = "ERP_B"
@@ -327,7 +411,8 @@ def test_shuffle_grows_with_the_rows(spark):
     before = spark.conf.get(key)
     assert shuffle_for(spark, 10) == {key: before}
     assert shuffle_for(spark, 1000 * ROWS_PER_SHUFFLE_PARTITION + 1) == {key: "1001"}
-    assert shuffle_for(spark, 10**12) == {key: "20000"}
+    assert shuffle_for(spark, 10**12) == {key: "2000000"}
+    assert shuffle_for(spark, 10**4, rows_per_partition=10) == {key: "1000"}
     with settings(spark, {key: "77", "spark.sql.files.minPartitionNum": "3"}):
         assert spark.conf.get(key) == "77"
     assert spark.conf.get(key) == before
