@@ -15,7 +15,8 @@ def _qualified(spark: SparkSession, path: str) -> str:
         path = literal[0].rpartition("/")[0] or ("/" if literal[0].startswith("/") else ".")
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    return store.makeQualified(hadoop).toUri().normalize().toString().rstrip("/") + "/"
+    uri = store.makeQualified(hadoop).toUri().normalize()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}".rstrip("/") + "/"
 
 
 def check_apart(spark: SparkSession, **paths: str | list[str] | None) -> None:
