@@ -1,0 +1,104 @@
+"""Packing: ids, whole round trip, best cuts."""
+
+import itertools
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from customer_canon.llm import packing
+
+FILES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = Tokenizer.from_file(FILES[0])
+ENCODE = packing.text_encoder(*FILES)
+PARTS = ["a", "the", "ing", " ", "  ", "\n", " \n", "\t", "'s", "é", "ß", ".", ",", "1", "23", "中", "🙂", "А", "\x85", "<|endoftext|>", "Ġ"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.one_of(st.lists(st.sampled_from(PARTS)).map("".join), st.text()))
+def test_ids_equal_the_tokenizer(text):
+    text = text.encode("utf-8", "ignore").decode()
+    assert np.frombuffer(ENCODE(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+def check(rows, docs, window):
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert r.length == len(r.ids) > 0
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())
+        sequences[r.sequence_id].append(r)
+        pieces[r.doc_id, r.doc_tokens].append(r)
+    for parts in sequences.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= window
+    want = Counter()
+    for doc_id, text in docs:
+        want[doc_id, tuple(TOKENIZER.encode(text or "", add_special_tokens=False).ids + [0])] += 1
+    got = Counter()
+    for (doc_id, total), parts in pieces.items():
+        copies = sum(r.start == 0 for r in parts)
+        ids = Counter()
+        for r in parts:
+            for place, token in enumerate(r.ids):
+                ids[r.start + place, token] += 1
+        for _ in range(copies):
+            taken = []
+            for place in range(total):
+                token = next(t for (p, t), n in ids.items() if p == place and n > 0) if copies > 1 else None
+                if token is None:
+                    break
+                ids[place, token] -= 1
+                taken.append(token)
+            if copies == 1:
+                taken = [t for r in sorted(parts, key=lambda r: r.start) for t in r.ids]
+            got[doc_id, tuple(taken)] += 1
+    assert got == want
+    return len(sequences)
+
+
+@pytest.mark.parametrize("window", [32, 1024])
+def test_round_trip(make_docs, text_of, window):
+    docs = [(i, text_of(i, 5 + 7 * i % 200)) for i in range(60)]
+    docs += [(None, "no id"), (900, None), (901, ""), (5, text_of(5, 40)), (902, "x" * 30_000), (903, "word " * 3_000)]
+    docs = [d for d in docs if d[0] != 5 or d is docs[5]] + [(77, "twice. twice."), (77, "twice. twice.")]
+    frame = make_docs(docs).selectExpr("*", "1 AS ids", "2 AS start", "'x' AS id").repartition(3)
+    rows = packing.pack_documents(frame, *FILES, window=window, with_ids=True).collect()
+    n = check(rows, docs, window)
+    total = sum(r.length for r in rows)
+    assert window == 32 or total > 0.9 * window * (n - 3)
+
+
+def test_blocks_are_carried_over(make_docs, text_of, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 500)
+    docs = [(i, text_of(i, 60)) for i in range(40)]
+    rows = packing.pack_documents(make_docs(docs).coalesce(1), *FILES, window=64, with_ids=True).collect()
+    n = check(rows, docs, 64)
+    assert sum(r.length for r in rows) > 0.7 * 64 * n
+
+
+def test_cuts_are_the_best(monkeypatch):
+    rng = random.Random(1)
+    for _ in range(60):
+        places = np.cumsum([0, *[rng.randint(1, 6) for _ in range(9)]])
+        fees = np.array([rng.choice([0, 2, 9]) for _ in places], dtype=float)
+
+        def cost(cuts):
+            spans = [places[b] - places[a] for a, b in zip(cuts, cuts[1:])]
+            return sum(10 - s for s in spans) + sum(fees[c] for c in cuts[1:]) if max(spans) <= 10 else np.inf
+
+        last = len(places) - 1
+        inner = itertools.chain.from_iterable(itertools.combinations(range(1, last), n) for n in range(last))
+        assert cost(packing.best_cuts(places, fees, 10)) == min(cost((0, *c, last)) for c in inner)
+
+
+def test_empty_table(make_docs):
+    assert packing.pack_documents(make_docs([]), *FILES).collect() == []

@@ -1,0 +1,106 @@
+"""Personal data against Python's regular expressions, and identifiers found by context."""
+
+import hashlib
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from customer_canon.llm import pii
+
+# The patterns of the base result as given.
+GIVEN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for place, digit in enumerate(reversed(digits)):
+        value = int(digit) * (1 + place % 2)
+        total += value - 9 * (value > 9)
+    return total % 10 == 0
+
+
+def valid(kind, value):
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "ip":
+        return all(int(part) <= 255 for part in value.split("."))
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return kind != "phone" or 9 <= len(digits) <= 15
+
+
+def plain(text):
+    spans = [
+        (m.start(), place, m.end(), kind)
+        for place, (kind, pattern) in enumerate(GIVEN.items())
+        for m in re.finditer(pattern, text or "")
+        if valid(kind, m[0])
+    ]
+    return sorted(spans)
+
+
+TEXTS = [
+    "mail a.b@c.de, x@y.z_d@e.fg and no@mail é😀 bob@ex-am.ple.org.",
+    "a@b.c_d@e.f.g a@b..c @x.y a@-.- %+@a.b",
+    "1.2.3.4 256.1.1.1 1.2.3.4.5.6.7.8 001.002.003.255 1.2.3 99999999999999999999.1.1.1",
+    "4111 1111 1111 1111 and 4111-1111-1111-1112, 4111111111111111 4111  1111",
+    "+1 (456) 555-2186 +49 30 1234567 +1 2 +12345678901234567 ++44 20 7946 0958-",
+    "",
+    None,
+    "a" * 60_000 + "@" + "b." * 3_000 + "c",
+    "1" * 60_000,
+    "a.b.c@d " * 5_000,
+    "+1" + "." * 20_000 + "2345678",
+    "\n".join(f"user{i}@host{i}.org" for i in range(300)),
+]
+
+
+def test_base_spans_equal_the_given_patterns(make_docs):
+    rng = random.Random(8)
+    alphabet = ["1", "2", "45", ".", "-", " ", "@", "a", "b.c", "+", "(", ")", "_", "é", "\n", "4111111111111111", "255"]
+    texts = TEXTS + ["".join(rng.choices(alphabet, k=rng.randint(1, 60))) for _ in range(400)]
+    rows = [*enumerate(texts), (0, texts[0]), (None, texts[0])]
+    docs = make_docs(rows).selectExpr("*", "1 AS pii_key_a", "'x' AS base", "2 AS start")
+    got = pii.find_personal_data(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        text = texts[r.doc_id or 0]
+        assert [tuple(s) for s in r.base] == [(a, k + 1, b, kind) for a, k, b, kind in plain(text)], text
+        assert set(r.base) <= set(r.spans)
+
+
+def test_contexts_give_identifiers_away(make_docs, text_of):
+    seeds = [(i, f"{text_of(i, 20)} please call me at +1 (456) 555-2{i:03d} {text_of(i + 50, 20)}") for i in range(12)]
+    unseen = [(100, f"{text_of(90, 20)} please call me at 456.555.9{i:03d} {text_of(91, 9)}") for i in range(1)]
+    other = [(200 + i, f"{text_of(60 + i, 20)} in the year {1900 + i}-{2000 + i} {text_of(95, 20)}") for i in range(12)]
+    rows = {r.doc_id: r for r in pii.find_personal_data(make_docs(seeds + unseen + other)).collect()}
+    text = dict(unseen)[100]
+    (span,) = rows[100].spans
+    assert rows[100].base == [] and span.kind == "phone" and text[span.start : span.end] == "456.555.9000"
+    assert all(rows[i].spans == [] for i, _ in other)
+    assert all(len(rows[i].spans) == 1 for i, _ in seeds)
+
+
+def test_redaction(make_docs):
+    docs = make_docs([(1, "é mail a@b.cd, ip 1.2.3.4!"), (2, None), (3, "clean"), (3, "clean"), (4, "a@1.2.3.4")])
+    docs = docs.selectExpr("*", "1 AS text2", "'x' AS more", "2 AS row", "3 AS id")
+    got = pii.redacted(docs)
+    assert got.columns == docs.columns
+    rows = sorted(got.collect(), key=lambda r: r.doc_id)
+    assert [r.text for r in rows] == ["é mail [EMAIL], ip [IP]!", None, "clean", "clean", "[EMAIL]"]
+    assert rows[0].n_chars == len(rows[0].text) and rows[0].more == "x"
+
+
+def test_digest(spark, make_docs):
+    (row,) = pii.find_personal_data(make_docs([(1, "a@b.cd 1.2.3.4")])).select(pii.as_text(F.col("base")).alias("t")).collect()
+    assert row.t == "email:0:6,ip:7:14" and len(hashlib.sha256(row.t.encode()).hexdigest()) == 64
+
+
+def test_empty_table(make_docs):
+    assert pii.find_personal_data(make_docs([])).collect() == []
+    assert pii.redacted(make_docs([])).collect() == []

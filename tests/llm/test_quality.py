@@ -1,0 +1,120 @@
+"""Quality classifier and quality rules: counts, held-out accuracy, calibration, odd rows."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from customer_canon.llm import quality, rules, stats
+
+
+def plain_counts(text):
+    words = re.findall("[^\x20\x09-\x0d]+", text or "")
+    lines = [x for x in (text or "").split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    windows = Counter(zip(words, words[1:], words[2:]))
+    inside = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": sum((text or "").count(c) for c in "#*$%&|<>"),
+        "n_dup_lines": sum(x in lines[:i] for i, x in enumerate(lines)),
+        "n_repeat_words": len(inside),
+    }
+
+
+TEXTS = [
+    "a b c a b c a b c",
+    "one\ntwo\none\n \none \n\none",
+    "é 😀 x\x85y z\xa0w \x0b\x0c#*$",
+    "a a a a a",
+    "",
+    None,
+    "  \n\t ",
+    "w " * 40_000,
+    "\x1c \x1f x",
+]
+
+
+def test_counts_equal_a_plain_version():
+    rng = random.Random(2)
+    texts = TEXTS + ["".join(rng.choices(["a ", "b ", "c ", "\n", "#", "é", "  "], k=rng.randint(0, 60))) for _ in range(300)]
+    for text in texts:
+        counted = dict(zip(stats.COUNTS, stats.text_counts(text)))
+        expected = plain_counts(text)
+        assert {k: counted[k] for k in expected} == expected, text
+
+
+def test_ratios_agree_in_spark_and_numpy(make_docs):
+    docs = stats.with_counts(make_docs(list(enumerate(TEXTS))))
+    rows = docs.select("doc_id", *[c.alias(n) for n, c in stats.ratio_columns().items()]).orderBy("doc_id").collect()
+    import pandas as pd
+
+    assert np.allclose([[r[n] for n in stats.RATIO_NAMES] for r in rows], stats.ratio_array(pd.Series(TEXTS)))
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, make_docs, text_of):
+    rng = random.Random(5)
+    docs, marks = [], []
+    for i in range(400):
+        text = text_of(i, rng.randint(30, 120))
+        good = rng.random() < 0.7
+        if not good:
+            text = rng.choice([text.upper() + "!!", " ".join(w + "###" for w in text.split()), "same word " * 60])
+        docs.append((i, text))
+        marks.append((i, int(good)))
+    docs += [(None, text_of(1)), (5000, None), (5001, ""), (7, docs[7][1]), (5002, "w " * 30_000)]
+    marks += [(None, 0), (3, None), (8, marks[8][1]), (9999, 1)]
+    return make_docs(docs), spark.createDataFrame(marks, "doc_id long, quality int"), dict(marks)
+
+
+def test_classifier_on_held_out_rows(labelled):
+    docs, labels, marks = labelled
+    model = quality.fit_quality(docs, labels)
+    scored = quality.score_quality(docs, model).withColumn("held_out", stats.held_out(F.col("doc_id"))).collect()
+    assert len(scored) == docs.count() and all(0 <= r.score <= 1 for r in scored)
+    held = [r for r in scored if r.held_out and r.doc_id in marks and r.doc_id is not None and r.doc_id < 400]
+    assert len(held) > 50
+    assert np.mean([(r.score >= 0.3) == bool(marks[r.doc_id]) for r in held]) > 0.95
+    assert (np.diff(model.levels) >= 0).all()
+    kept = quality.good_documents(docs.selectExpr("*", "1 AS counts", "2 AS score"), model)
+    assert kept.columns == [*docs.columns, "counts", "score"]
+    assert kept.count() == sum(r.score >= 0.3 for r in scored)
+
+
+def test_sample_is_bounded_and_leaves_held_out_rows_alone(labelled):
+    docs, labels, _ = labelled
+    sample = stats.labelled_ratios(docs, labels, 50).collect()
+    assert 45 <= len(sample) <= 50 and not any(r.doc_id is None or r.doc_id >= 400 for r in sample)
+    ids = stats.labelled_ratios(docs, labels, 10**6).withColumn("out", stats.held_out(F.col("doc_id"))).collect()
+    assert not any(r.out for r in ids) and len({r.doc_id for r in ids}) == len(ids)
+
+
+def test_pooling():
+    assert quality.pooled(np.array([1.0, 0.0, 2.0]), np.array([1.0, 3.0, 1.0])).tolist() == [0.25, 0.25, 2.0]
+
+
+def test_rules_on_labelled_rows(labelled):
+    docs, labels, marks = labelled
+    learned = rules.learn_rules(docs, labels)
+    assert learned and all(str(t) for rule in learned for t in rule)
+    rows = stats.with_counts(docs).select("doc_id", rules.base_failed().alias("failed"), rules.rule_verdict(learned).alias("ok")).collect()
+    judged = [(r.ok, bool(marks[r.doc_id])) for r in rows if r.doc_id is not None and r.doc_id < 400]
+    assert np.mean([a == b for a, b in judged]) > 0.95
+    assert sum(good and not ok for ok, good in judged) <= 4
+    kept = rules.good_documents(docs.selectExpr("*", "1 AS counts", "2 AS `row`"), learned)
+    assert kept.columns == [*docs.columns, "counts", "row"]
+    assert kept.count() == sum(r.ok and not r.failed for r in rows)
+
+
+def test_without_labels_or_documents(spark, make_docs, labelled):
+    docs, labels, _ = labelled
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    assert {r.score for r in quality.score_quality(docs, quality.fit_quality(docs, none)).collect()} == {0.5}
+    assert rules.learn_rules(docs, none) == []
+    empty = make_docs([])
+    assert quality.score_quality(empty, quality.fit_quality(empty, labels)).collect() == []
+    assert rules.good_documents(empty, []).collect() == []
