@@ -1,7 +1,8 @@
 """Times every registered query, and a whole run against the UDF plan. Prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) is the input, BENCH_CPUS the local cores,
-BENCH_REPEATS how often each is timed after one warm-up; the best run is reported.
+BENCH_REPEATS how often each is timed after one warm-up; the best run is reported. Extracts are written in the
+warm-up, and everything written is deleted when the process ends.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def main() -> None:
     versus = best_seconds(
         {
             "run": lambda: run(spark, source, f"{out}/p", f"{out}/r", provider),
-            "udf_plan": lambda: run_udf_plan(spark, source, f"{out}/up", f"{out}/ur", provider),
+            "udf_plan": lambda: run_udf_plan(spark, source, f"{out}/up", f"{out}/ur"),
         },
         2 * repeats,
     )

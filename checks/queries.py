@@ -64,13 +64,19 @@ def _per_source(build: Callable[[DataFrame, str], DataFrame]) -> Query:
     return query
 
 
+_EXTRACTS: dict[tuple, str] = {}
+
+
 def _csv(spark: SparkSession, sf_dir: str, source_system: str, *, in_order: bool = False, drop: str = "") -> str:
-    """Writes an extract as CSV, optionally from the last id to the first, and returns its folder."""
-    folder = scratch_folder(spark, f"extract-{source_system}")
-    frame = extract(spark, sf_dir, source_system).drop(drop)
-    mapping = provider_for(source_system).mapping
-    write_csv(frame, folder, [F.col(mapping["external_id"]).desc()] if in_order else ())
-    return folder
+    """The folder of an extract as CSV, optionally from the last id to the first; written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, source_system, in_order, drop)
+    if key not in _EXTRACTS:
+        folder = scratch_folder(spark, f"extract-{source_system}")
+        frame = extract(spark, sf_dir, source_system).drop(drop)
+        first = provider_for(source_system).mapping["external_id"]
+        write_csv(frame, folder, [F.col(first).desc()] if in_order else ())
+        _EXTRACTS[key] = folder
+    return _EXTRACTS[key]
 
 
 # --- mapping and functions ---------------------------------------------------
@@ -239,8 +245,7 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         run(spark, path, f"{out}/{n}/processed", f"{out}/{n}/rejected", provider_for(source_system))
         for n, (source_system, path) in enumerate(inputs)
     ]
-    for folder in (out, *(path for _, path in inputs)):
-        drop_folder(spark, folder)
+    drop_folder(spark, out)
     ledger = _union([report.as_dataframe(spark) for report in reports])
     return ledger.select(
         "source_system", "status", "error", "processed_count", "rejected_count", "unique_count", "unnamed_count"
@@ -254,7 +259,6 @@ def job_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = scratch_folder(spark, "job")
         source_path = _csv(spark, sf_dir, source_system, in_order=True)
         run_job(spark, JobArgs(source_system, source_path, f"{out}/processed", f"{out}/rejected"))
-        drop_folder(spark, source_path)
         customers = read_processed(spark, f"{out}/processed")
         source_columns = tuple(provider_for(source_system).mapping.values())
         rejects = read_rejected(spark, f"{out}/rejected", rejected_schema(source_columns)).select(*REJECTED_FIELDS)
@@ -273,7 +277,6 @@ def job_source_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, source_path, f"{out}/processed", f"{out}/rejected", provider,
         processed_layout=canonical_projection, rejected_layout=raw_rejects,
     )
-    drop_folder(spark, source_path)
     customers = read_processed(spark, f"{out}/processed", text_schema(CANONICAL_PROJECTION_FIELDS))
     rejects = read_rejected(spark, f"{out}/rejected", raw_rejects_schema(tuple(provider.mapping.values())))
     flat = rejects.select("reason", F.col("raw_record.customer_id").alias("external_id"), "raw_record.tax_id")
@@ -303,7 +306,6 @@ def provider_prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     provider = replace(provider_for("ERP_B"), prepare=shouting)
     out, source_path = scratch_folder(spark, "job"), _csv(spark, sf_dir, "ERP_B", in_order=True)
     run(spark, source_path, f"{out}/processed", f"{out}/rejected", provider)
-    drop_folder(spark, source_path)
     schema = rejected_schema(tuple(provider.mapping.values()))
     rejects = read_rejected(spark, f"{out}/rejected", schema).select(
         *CANONICAL_FIELDS, "reason", F.col("raw_record.legal_name").alias("raw_name"), "raw_record.vat_number"

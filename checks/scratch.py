@@ -7,6 +7,30 @@ from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+_ROOTS: dict[str, str] = {}
+
+
+def _file_system(spark: SparkSession, folder: str) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _root(spark: SparkSession) -> str:
+    """One folder for each application, deleted when its driver ends, in whatever way it ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _ROOTS:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            if not spark.conf.get("spark.master", "").startswith("local"):
+                raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
+            shared = tempfile.gettempdir()
+        root = f"{shared.rstrip('/')}/customer-canon-{application}-{uuid4().hex}"
+        store, path = _file_system(spark, root)
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+        _ROOTS[application] = root
+    return _ROOTS[application]
+
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new, not yet existing folder below ``spark.checkpoint.dir``.
@@ -14,15 +38,10 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     Without that setting a local session uses the machine's temporary folder;
     a cluster session must name a shared one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="customer-canon-")
-    return f"{root.rstrip('/')}/{label}-{uuid4().hex}"
+    return f"{_root(spark)}/{label}-{uuid4().hex}"
 
 
 def drop_folder(spark: SparkSession, folder: str) -> None:
     """Deletes a folder made by ``scratch_folder`` on whatever storage it lives."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    store, path = _file_system(spark, folder)
+    store.delete(path, True)

@@ -17,10 +17,8 @@ def clean_tax_id(tax_id: Column, country: Column, trim: str = UNICODE_SPACE) ->
 
     ``country`` must already be a two-letter code; a null country keeps the value.
     """
-    edge = F.lit(trim)
-    trimmable = F.contains(edge, F.left(tax_id, F.lit(1))) | F.contains(edge, F.right(tax_id, F.lit(1)))
-    trimmed = F.when(trimmable, F.btrim(tax_id, edge)).otherwise(tax_id)  # looking is cheaper than trimming
-    compact = F.replace(F.replace(F.upper(trimmed), F.lit("-"), F.lit("")), F.lit(" "), F.lit(""))
+    trimmed = F.upper(F.btrim(tax_id, F.lit(trim)))
+    compact = F.replace(F.replace(trimmed, F.lit("-"), F.lit("")), F.lit(" "), F.lit(""))
     return F.when(F.startswith(compact, country), F.substr(compact, F.lit(3))).otherwise(compact)
 
 

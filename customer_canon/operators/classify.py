@@ -63,7 +63,7 @@ def classify(
     provider: Provider,
     rules: Rules = STRICT,
     keep_raw: bool = True,
-    evaluate_once: bool = False,
+    evaluate_once: bool = True,
 ) -> DataFrame:
     """Canonical columns plus ``is_valid``, ``reason``, ``reason_detail`` and ``raw_record``.
 
@@ -74,9 +74,9 @@ def classify(
     such and kept in ``raw_line``. Raises IngestionError before any job if a
     required column is absent.
 
-    ``evaluate_once`` keeps filters on the result above the cleaning. That is
-    worth it where all rows are read and filtered on the verdict several times; it
-    also keeps filters on source columns from reaching the scan.
+    ``evaluate_once`` keeps filters on the result above the cleaning, which Spark
+    would otherwise repeat for each mention of the verdict. It also keeps filters on
+    source columns from reaching the scan: turn it off where few rows are wanted.
     """
     if keep_raw:
         source = with_raw_record(source)
@@ -136,7 +136,9 @@ def rejected(classified: DataFrame) -> DataFrame:
     return classified.filter("NOT is_valid").select(*keep)
 
 
-def process(source: DataFrame, provider: Provider, rules: Rules = STRICT) -> tuple[DataFrame, DataFrame]:
+def process(
+    source: DataFrame, provider: Provider, rules: Rules = STRICT, evaluate_once: bool = True
+) -> tuple[DataFrame, DataFrame]:
     """(processed, rejected) as two lazy views of one classification."""
-    classified = classify(source, provider, rules)
+    classified = classify(source, provider, rules, evaluate_once=evaluate_once)
     return processed(classified), rejected(classified)

@@ -191,24 +191,24 @@ def test_run_writes_both_outputs(spark, paths):
     put(
         source,
         B_HEADER
-        + "C001,ACME S.L., es-b12 345-678 ,Spain,info@acme.es\n"
-        + "C002,ACME Sociedad Limitada,ESB12345678,Spain,contact@acme.es\n"
-        + "C003,Globex S.L., es-b1234 ,Spain,info@globex.es\n",
+        + "K-7,Molinos Sur,es x71-004 28q,Spain,caja@molinos.example\n"
+        + "K-9,Molinos del Sur,X7100428Q,ES,\n"
+        + "K-3,Ferro, 77-1 ,ES,a@ferro.example\n",
     )
     report = run(spark, source, processed, rejected, B)
     assert parquet_rows(spark, processed) == [
         {
-            "external_id": "C001",
-            "name": "ACME S.L.",
-            "tax_id": "B12345678",
+            "external_id": "K-7",
+            "name": "Molinos Sur",
+            "tax_id": "X7100428Q",
             "country": "ES",
-            "email": "info@acme.es",
-            "customer_id": "25013cb5-a708-5c14-a1f1-f2ddbe8e9d35",
+            "email": "caja@molinos.example",
+            "customer_id": "a632f193-0d38-5cee-93c9-8487479f0e8d",
         }
     ]
     (reject,) = json_rows(rejected)
-    assert (reject["external_id"], reject["tax_id"], reject["reason"]) == ("C003", "B1234", "Invalid tax ID")
-    assert reject["raw_record"]["vat_number"] == " es-b1234 "
+    assert (reject["external_id"], reject["tax_id"], reject["reason"]) == ("K-3", "771", "Invalid tax ID")
+    assert reject["raw_record"]["vat_number"] == " 77-1 "
     assert (report.status, report.source_system, report.input_source) == ("COMPLETED", "ERP_B", source)
     assert (report.processed_count, report.rejected_count, report.unique_count) == (2, 1, 1)
     assert report.started_at <= report.finished_at and report.error is None
