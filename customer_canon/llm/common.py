@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +59,41 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Spark's option for the rows of a batch that goes to Python.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+class Scratch:
+    """Parquet tables of one computation, below the folder of checkpoints; gone at the end of the ``with`` block.
+
+    For steps in a loop. A checkpoint keeps the size that Spark estimated for its plan, for a join the product of
+    both sides; over many rounds those numbers outgrow the planner. A table has the size of its files.
+
+    ``batch_rows`` is how many rows at once go to Python within the block: few, where rows hold whole texts.
+    """
+
+    def __init__(self, spark: SparkSession, batch_rows: int = 1_000):
+        self.spark = spark
+        self.batch_rows = batch_rows
+        self.folder = f"{checkpoint_folder(spark)}/scratch-{uuid4().hex}"
+        self.tables = 0
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        self.tables += 1
+        path = f"{self.folder}/{self.tables}"
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        self.before = self.spark.conf.get(BATCH_ROWS)
+        self.spark.conf.set(BATCH_ROWS, str(self.batch_rows))
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.spark.conf.set(BATCH_ROWS, self.before)
+        drop_folder(self.spark, self.folder)
+
+
 #: Rows of a written table that may be sent to every executor.
 MOST_BROADCAST = 50_000
 

@@ -7,9 +7,9 @@ of many sketches form a bucket.
 
 In a bucket, every text is compared with the few texts that share most sketches with others: the ones that the rest
 were copied from, if any. Small buckets are thereby compared completely. Where a larger bucket still falls into
-several components, its members are dealt anew by two sketches at once, then by three, and so on, which splits the
-bucket ever finer until no new pair of different components is left. So no bucket is capped, and no bucket costs
-the square of its size.
+several components, its members are dealt anew by two sketches at once, then by three, and so on, and those apart
+from the main component are compared with the weightiest members of the finer buckets, until a round finds no
+further link. So no member of a bucket is dropped, and no bucket costs the square of its size.
 
 A comparison aligns the two sequences within a band of diagonals: the longest common subsequence of labelled shingles.
 Texts are near copies if it holds ``least`` of all shingles of both. The band is as wide as that allows, so it
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import as_rows, broadcast_if_small, columns_of, cut
+from customer_canon.llm.common import Scratch, as_rows, broadcast_if_small, columns_of, cut
 from customer_canon.llm.components import components
 
 #: Shingles of a sketch and number of sketches. Texts of few shingles get smaller sketches, so that one edit leaves
@@ -40,8 +40,11 @@ from customer_canon.llm.components import components
 LONG = (5, 24)
 SHORT = (2, 12)
 LONG_FROM, SHORT_TO = 32, 40
-#: Members of a bucket that all others are compared with.
+#: Members of a bucket that others are compared with: at first, and in the finer buckets.
 HUBS = 3
+FINER_HUBS = 5
+#: Sketches after the last one of a bucket, in a circle, that its members are dealt by anew.
+FURTHER = 3
 #: Rows that leave, of a few bytes each, that are sent to every executor; beyond, texts are shuffled once.
 MOST_GONE = 200_000
 
@@ -57,7 +60,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
         value = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(self) < 200_000:
+        if len(self) < 100_000:
             self[word] = value
         return value
 
@@ -176,22 +179,23 @@ def _compared(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame
 
     first = sequences.toDF("a", "first")
     second = sequences.toDF("b", "second")
-    return cut(pairs.join(first, "a").join(second, "b").mapInPandas(linked, "a long, b long"))
+    return pairs.join(first, "a").join(second, "b").mapInPandas(linked, "a long, b long")
 
 
-def _pairs(members: DataFrame, least: float) -> DataFrame:
-    """Distinct pairs of each bucket's members ``bucket, node, size, weight, component`` with its hubs.
+def _pairs(members: DataFrame, hubs: int, least: float, scratch: Scratch) -> DataFrame:
+    """Distinct pairs of each bucket's members ``bucket, node, size, weight, component, apart`` with its hubs.
 
-    Members of one component are not compared, nor texts whose sizes alone rule a link out.
+    Only members that are ``apart`` are compared. Members of one component are not compared, nor texts whose sizes alone rule a link out.
     """
     central = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
-    hubs = cut(
+    chosen = scratch.keep(
         members.withColumn("rank", F.row_number().over(central))
-        .where(F.col("rank") <= HUBS)
+        .where(F.col("rank") <= hubs)
         .select("bucket", F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("component").alias("hub_component"))
     )
     return (
-        members.join(hubs, "bucket")
+        members.where("apart")
+        .join(chosen, "bucket")
         .where("component <> hub_component")
         .where(F.least("size", "hub_size") >= F.lit(least) * F.greatest("size", "hub_size"))
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
@@ -201,14 +205,14 @@ def _pairs(members: DataFrame, least: float) -> DataFrame:
 
 def _with_components(members: DataFrame, of: DataFrame) -> DataFrame:
     found = members.drop("component").join(of, "node", "left")
-    return cut(found.withColumn("component", F.coalesce("component", "node")))
+    return found.withColumn("component", F.coalesce("component", "node"))
 
 
-def _finer(members: DataFrame, classes: DataFrame) -> DataFrame:
+def _finer(members: DataFrame, hubs: int, classes: DataFrame, scratch: Scratch) -> DataFrame:
     """The next, finer buckets of those that still hold several components and more members than were compared.
 
-    Members outside the component of the bucket's weightiest one are dealt by a further sketch each; of the others,
-    those that meet one of them there. Buckets of one member or component are left out.
+    Members outside the component of the bucket's weightiest one are ``apart``. They are dealt anew by the next few
+    sketches each, and so are the others that meet one of them there. Buckets of one component are left out.
     """
     held = members.groupBy("bucket").agg(
         F.count("*").alias("held"),
@@ -216,22 +220,26 @@ def _finer(members: DataFrame, classes: DataFrame) -> DataFrame:
         F.max("component").alias("high"),
         F.max_by("component", F.struct("weight", "node")).alias("main"),
     )
-    crowded = cut(held.where((F.col("held") > HUBS + 1) & (F.col("low") != F.col("high"))).select("bucket", "main"))
-    if crowded.isEmpty():
-        return crowded
-    again = cut(members.join(crowded, "bucket"))
+    crowded = held.where((F.col("held") > hubs + 1) & (F.col("low") != F.col("high"))).select("bucket", "main")
+    again = scratch.keep(
+        members.join(scratch.keep(crowded), "bucket").withColumn("apart", F.col("component") != F.col("main"))
+    )
+    sketches = F.size("sketches")
+    turns = F.transform(F.sequence(F.lit(1), F.least(F.lit(FURTHER), sketches - 1)), lambda n: (F.col("last") + n) % sketches)
 
     def dealt(rows: DataFrame) -> DataFrame:
         further = rows.join(classes.select("node", "sketches"), "node").withColumnRenamed("turn", "last")
-        further = further.select("*", F.posexplode("sketches").alias("turn", "sketch")).where("turn > last")
-        further = further.withColumn("bucket", F.xxhash64("bucket", "sketch"))
-        return further.select("bucket", "node", "size", "weight", "turn", "component")
-
-    apart = cut(dealt(again.where("component <> main")))
-    others = dealt(again.where("component = main")).join(apart.select("bucket").distinct(), "bucket", "left_semi")
-    finer = cut(apart.unionByName(others))
+        further = further.where(sketches > 1).withColumn("turn", F.explode(turns))
+        further = further.withColumn("bucket", F.xxhash64("bucket", F.get("sketches", F.col("turn"))))
+        return further.select("bucket", "node", "size", "weight", "turn", "component", "apart")
+
+    apart = scratch.keep(dealt(again.where("apart")))
+    if apart.isEmpty():
+        return apart
+    others = dealt(again.where("NOT apart")).join(apart.select("bucket").distinct(), "bucket", "left_semi")
+    finer = scratch.keep(apart.unionByName(others))
     mixed = finer.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return cut(finer.join(cut(mixed.where("low <> high").select("bucket")), "bucket"))
+    return scratch.keep(finer.join(mixed.where("low <> high").select("bucket"), "bucket"))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -252,25 +260,29 @@ def near_duplicates(
     ``least_id`` is the smallest id with that text, ``component_id`` the smallest one of all texts linked to it,
     directly or not.
     """
-    keyed = _keyed(docs.select(id_col, text_col), id_col, text_col)
+    with Scratch(docs.sparkSession) as scratch:
+        return cut(_near_duplicates(_keyed(docs.select(id_col, text_col), id_col, text_col), words, least, scratch))
+
+
+def _near_duplicates(keyed: DataFrame, words: int, least: float, scratch: Scratch) -> DataFrame:
     sketched = _sketched(keyed.select("key_a", "key_b", "text"), words)
     # one row per distinct text: sketches are equal, ids come from the narrow rows
-    classes = cut(
+    classes = scratch.keep(
         sketched.where("size > 0")
         .groupBy("key_a", "key_b")
         .agg(F.first("size").alias("size"), F.first("sketches").alias("sketches"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    ids = cut(keyed.groupBy("key_a", "key_b").agg(F.min("id").alias("least_id")))
+    ids = scratch.keep(keyed.groupBy("key_a", "key_b").agg(F.min("id").alias("least_id")))
     in_buckets = classes.select("node", "size", F.posexplode("sketches").alias("turn", "sketch")).withColumn(
         "bucket", F.xxhash64("sketch")
     )
-    shared = cut(in_buckets.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1"))
+    shared = scratch.keep(in_buckets.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1"))
     members = in_buckets.join(shared, "bucket")
-    weights = cut(members.groupBy("node").agg(F.sum("held").alias("weight")))
-    members = cut(
+    weights = scratch.keep(members.groupBy("node").agg(F.sum("held").alias("weight")))
+    members = scratch.keep(
         members.join(weights, "node").select(
-            "bucket", "node", "size", "weight", "turn", F.col("node").alias("component")
+            "bucket", "node", "size", "weight", "turn", F.col("node").alias("component"), F.lit(True).alias("apart")
         )
     )
 
@@ -290,23 +302,27 @@ def near_duplicates(
             whole = [labelled_shingles(t, words, hashes).tobytes() for t in batch["text"]]
             yield pd.DataFrame({"node": batch["node"], "sequence": whole})
 
-    sequences = cut(texts.mapInPandas(sequenced, "node long, sequence binary").dropDuplicates(["node"]))
-
-    tested, links, of = None, None, None
-    while True:
-        pairs = _pairs(members, least)
-        pairs = cut(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        found = _compared(pairs, sequences, least)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if links is None or not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            of = cut(components(links))
-        members = _finer(_with_components(members, of), classes)
+    sequences = scratch.keep(texts.mapInPandas(sequenced, "node long, sequence binary").dropDuplicates(["node"]))
+
+    pairs = scratch.keep(_pairs(members, HUBS, least, scratch))
+    found = links = scratch.keep(_compared(pairs, sequences, least))
+    tested, hubs = pairs, HUBS
+    of = components(links)
+    members = _with_components(members, of)
+    while not found.isEmpty():
+        members = _finer(members, hubs, classes, scratch)
         if members.isEmpty():
             break
+        hubs = FINER_HUBS
+        pairs = scratch.keep(_pairs(members, hubs, least, scratch).join(tested, ["a", "b"], "left_anti"))
+        found = scratch.keep(_compared(pairs, sequences, least))
+        tested, links = tested.unionByName(pairs), links.unionByName(found)
+        of = None  # no longer those of all links
+    if of is None:
+        of = components(links)
     graph = classes.select("key_a", "key_b", "node").join(of, "node", "left")
     graph = graph.withColumn("component", F.coalesce("component", "node")).join(ids, ["key_a", "key_b"])
-    names = cut(graph.groupBy("component").agg(F.min("least_id").alias("component_id")))
+    names = scratch.keep(graph.groupBy("component").agg(F.min("least_id").alias("component_id")))
     return graph.join(names, "component").select(
         "key_a", "key_b", "least_id", "component", "component_id"
     )
@@ -314,7 +330,7 @@ def near_duplicates(
 
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``<id_col>, component_id, kept`` for every document."""
-    found = cut(near_duplicates(docs, id_col, text_col, **how))
+    found = near_duplicates(docs, id_col, text_col, **how)
     component = F.when(F.col("found").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
     return (
         _keyed(docs.select(id_col, text_col), id_col, text_col)

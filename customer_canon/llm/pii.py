@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import as_rows, broadcast_if_small, columns_of, cut
+from customer_canon.llm.common import Scratch, as_rows, broadcast_if_small, columns_of, cut
 
 #: Kinds in the order of the result, and what they look like: fixed values, in the form that cannot run long.
 PATTERNS = {
@@ -150,7 +150,14 @@ def discovered(
     A pattern is trusted if at least ``least_seeds`` distinct instances of one kind occur in it and make up
     ``pattern_trust`` of all; a candidate needs a score of ``instance_trust``.
     """
-    edges = cut(mentions.where("context IS NOT NULL").groupBy("context", "value").agg(F.max("kind").alias("seed")))
+    with Scratch(mentions.sparkSession) as scratch:
+        return cut(_discovered(mentions, rounds, least_seeds, pattern_trust, instance_trust, scratch))
+
+
+def _discovered(
+    mentions: DataFrame, rounds: int, least_seeds: int, pattern_trust: float, instance_trust: float, scratch: Scratch
+) -> DataFrame:
+    edges = scratch.keep(mentions.where("context IS NOT NULL").groupBy("context", "value").agg(F.max("kind").alias("seed")))
     known = edges.where("seed IS NOT NULL").select("value", F.col("seed").alias("kind")).distinct()
     known = known.withColumn("score", F.lit(1.0))
     totals = edges.groupBy("context").agg(F.count("*").alias("instances"))
@@ -174,7 +181,7 @@ def discovered(
             .agg((1 - F.exp(doubt)).alias("score"))
         )
         seeds = known.where("score = 1.0")
-        known = cut(seeds.unionByName(scored.withColumn("score", F.least("score", F.lit(0.999)))))
+        known = scratch.keep(seeds.unionByName(scored.withColumn("score", F.least("score", F.lit(0.999)))))
     sure = known.where((F.col("score") < 1.0) & (F.col("score") >= instance_trust))
     return (
         mentions.where("kind IS NULL")
