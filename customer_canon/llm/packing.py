@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 #: Ids of white space followed by a blank: the ids of the words on both sides may then depend on each other.
 _JOINED = re.compile(r"\s ")
 #: Words whose ids are kept in memory by one task.
-MOST_WORDS = 400_000
+MOST_WORDS = 150_000
 #: Tokens of one block.
 BLOCK = 1 << 20
 
@@ -101,7 +101,8 @@ def sentence_ends(tokenizer_file: str) -> np.ndarray:
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
     ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
-    for token, number in tokenizer.get_vocab().items():
+    for number in range(len(ends)):
+        token = tokenizer.id_to_token(number) or ""
         ends[number] = token.endswith((".", "!", "?", "Ċ"))  # the last is how byte-level BPE writes a line feed
     return ends
 
