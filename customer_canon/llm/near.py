@@ -5,11 +5,13 @@ shingles that a seeded hash orders first and keeps them in the order of the text
 those shingles in common and in the same order, so it follows edits, not just common words. Texts that share one
 of many sketches form a bucket.
 
-In a bucket, every text is compared with the few texts that share most sketches with others: the ones that the rest
-were copied from, if any. Small buckets are thereby compared completely. Where a larger bucket still falls into
-several components, its members are dealt anew by two sketches at once, then by three, and so on, and those apart
-from the main component are compared with the weightiest members of the finer buckets, until a round finds no
-further link. So no member of a bucket is dropped, and no bucket costs the square of its size.
+In a bucket, every text is first compared with the few texts that share most sketches with others: the ones that the
+rest were copied from, if any. Small buckets are thereby compared completely. Where the other members of a larger bucket
+still belong to several components, all of them are compared across components, in tiles: those apart from the
+largest component are dealt to blocks, and so are those of it, and every block of the former meets every block of the bucket
+in one tile. So every pair that shares a sketch is judged, unless it is linked already, and a large bucket is spread over
+many tasks. Within a tile, sizes and the numbers of common shingles rule out the pairs that cannot align well enough, a
+pair is judged in the first bucket that it shares, and only links that join components are sent on.
 
 A comparison aligns the two sequences within a band of diagonals: the longest common subsequence of labelled shingles.
 Texts are near copies if it holds ``least`` of all shingles of both. The band is as wide as that allows, so it
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from customer_canon.llm.common import Scratch, as_rows, broadcast_if_small, columns_of, cut
@@ -40,11 +42,13 @@ from customer_canon.llm.components import components
 LONG = (5, 24)
 SHORT = (2, 12)
 LONG_FROM, SHORT_TO = 32, 40
-#: Members of a bucket that others are compared with: at first, and in the finer buckets.
+#: Members of a bucket that all others are compared with first.
 HUBS = 3
-FINER_HUBS = 5
-#: Sketches after the last one of a bucket, in a circle, that its members are dealt by anew.
-FURTHER = 3
+#: Texts and shingles of a block, on average; a tile holds two blocks.
+BLOCK = 128
+BLOCK_SHINGLES = 1 << 19
+#: Distinct values that are counted at once.
+COUNTED = 4096
 #: Rows that leave, of a few bytes each, that are sent to every executor; beyond, texts are shuffled once.
 MOST_GONE = 200_000
 
@@ -182,64 +186,163 @@ def _compared(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame
     return pairs.join(first, "a").join(second, "b").mapInPandas(linked, "a long, b long")
 
 
-def _pairs(members: DataFrame, hubs: int, least: float, scratch: Scratch) -> DataFrame:
-    """Distinct pairs of each bucket's members ``bucket, node, size, weight, component, apart`` with its hubs.
-
-    Only members that are ``apart`` are compared. Members of one component are not compared, nor texts whose sizes alone rule a link out.
-    """
+def _hubs(members: DataFrame) -> DataFrame:
+    """The weightiest members ``bucket, hub, hub_size, held`` of each bucket's ``bucket, held, node, size, weight``."""
     central = Window.partitionBy("bucket").orderBy(F.col("weight").desc(), "node")
-    chosen = scratch.keep(
-        members.withColumn("rank", F.row_number().over(central))
-        .where(F.col("rank") <= hubs)
-        .select("bucket", F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("component").alias("hub_component"))
-    )
+    ranked = members.withColumn("rank", F.row_number().over(central)).where(F.col("rank") <= HUBS)
+    return ranked.select("bucket", F.col("node").alias("hub"), F.col("size").alias("hub_size"), "held")
+
+
+def _pairs(members: DataFrame, hubs: DataFrame, least: float) -> DataFrame:
+    """Distinct pairs of each bucket's members with its hubs, but for texts whose sizes alone rule a link out."""
     return (
-        members.where("apart")
-        .join(chosen, "bucket")
-        .where("component <> hub_component")
+        members.drop("held")
+        .join(hubs, "bucket")
+        .where("node <> hub")
         .where(F.least("size", "hub_size") >= F.lit(least) * F.greatest("size", "hub_size"))
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         .distinct()
     )
 
 
-def _with_components(members: DataFrame, of: DataFrame) -> DataFrame:
-    found = members.drop("component").join(of, "node", "left")
-    return found.withColumn("component", F.coalesce("component", "node"))
-
+def common_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:
+    """How many values each array of ``first`` shares with each one of ``second``; values are distinct in an array."""
+    counts = np.zeros((len(first), len(second)))
+    if not len(first) or not len(second):
+        return counts
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (first, second)]
+    shared = np.intersect1d(sides[0][0], sides[1][0])
+    for at in range(0, len(shared), COUNTED):
+        some = shared[at : at + COUNTED]
+        holds = []
+        for (values, owner), side in zip(sides, (first, second)):
+            place = np.minimum(np.searchsorted(some, values), len(some) - 1)
+            same = some[place] == values
+            held = np.zeros((len(side), len(some)), dtype=np.float32)
+            held[owner[same], place[same]] = 1
+            holds.append(held)
+        counts += holds[0] @ holds[1].T
+    return counts
+
+
+def tile_links(
+    bucket: int, half: np.ndarray, component: np.ndarray, sequences: list, sketches: list, least: float
+) -> list[tuple[int, int]]:
+    """Places of the pairs of a tile that link components, as a forest.
+
+    Rows of halves 1 and 2 are compared with each other, in a tile of half 0 all rows. Pairs that share a sketch below
+    ``bucket`` are left to that one.
+    """
+    first, second = np.flatnonzero(half != 2), np.flatnonzero(half != 1)
+    size = np.array([len(s) for s in sequences], dtype=float)
+
+    def narrowed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows, columns = may.any(axis=1), may.any(axis=0)
+        return first[rows], second[columns], may[np.ix_(rows, columns)]
+
+    x, y = size[first][:, None], size[second][None, :]
+    may = (component[first][:, None] != component[second][None, :]) & (np.minimum(x, y) >= least * np.maximum(x, y))
+    if (half == 0).any():
+        may &= first[:, None] < second[None, :]
+    first, second, may = narrowed()
+    below = [s[s < bucket] for s in sketches]
+    may &= common_counts([below[i] for i in first], [below[i] for i in second]) == 0
+    first, second, may = narrowed()
+    common = common_counts([sequences[i] for i in first], [sequences[i] for i in second])
+    may &= common >= least * (size[first][:, None] + size[second][None, :] - common)
+
+    root = {c: c for c in component.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    links = []
+    for i, j in zip(*(side[places].tolist() for side, places in zip((first, second), np.nonzero(may)))):
+        one, other = find(component[i]), find(component[j])
+        if one != other and alignment(sequences[i], sequences[j], least) >= least:
+            root[one] = other
+            links.append((i, j))
+    return links
+
+
+def _tiles(members: DataFrame, hubs: DataFrame, of: DataFrame, scratch: Scratch) -> DataFrame:
+    """``bucket, low, high, half, node, component`` of the tiles of all buckets that the hubs left undecided.
+
+    Those are the ones of which members other than hubs belong to several components. A bucket's tiles are named by the
+    numbers of their blocks; the blocks of its largest component come last, and no two of them meet.
+    """
+    rest = (
+        members.where(F.col("held") > HUBS + 1)
+        .join(hubs.where(F.col("held") > HUBS + 1).select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti")
+        .join(of, "node", "left")
+        .select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
+    )
+    rest = scratch.keep(rest)
+    parts = rest.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    most = F.max(F.struct("n", "shingles", "component"))
+    mixed = parts.groupBy("bucket").agg(
+        most.alias("main"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.count("*").alias("components")
+    )
 
-def _finer(members: DataFrame, hubs: int, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """The next, finer buckets of those that still hold several components and more members than were compared.
+    def blocks(n: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
 
-    Members outside the component of the bucket's weightiest one are ``apart``. They are dealt anew by the next few
-    sketches each, and so are the others that meet one of them there. Buckets of one component are left out.
-    """
-    held = members.groupBy("bucket").agg(
-        F.count("*").alias("held"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
-        F.max_by("component", F.struct("weight", "node")).alias("main"),
+    main = F.col("main")
+    mixed = scratch.keep(
+        mixed.where("components > 1").select(
+            "bucket",
+            main["component"].alias("main"),
+            blocks(F.col("n") - main["n"], F.col("shingles") - main["shingles"]).alias("apart_blocks"),
+            blocks(main["n"], main["shingles"]).alias("main_blocks"),
+        )
     )
-    crowded = held.where((F.col("held") > hubs + 1) & (F.col("low") != F.col("high"))).select("bucket", "main")
-    again = scratch.keep(
-        members.join(scratch.keep(crowded), "bucket").withColumn("apart", F.col("component") != F.col("main"))
+    salt = F.xxhash64("node", "bucket")
+    apart = F.col("component") != F.col("main")
+    block = F.when(apart, F.pmod(salt, "apart_blocks")).otherwise(F.col("apart_blocks") + F.pmod(salt, "main_blocks"))
+    last = F.col("apart_blocks") - 1 + F.when(apart, F.col("main_blocks")).otherwise(0)
+    return (
+        rest.join(mixed, "bucket")
+        .withColumn("block", block.cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+        .select(
+            "bucket",
+            F.least("block", "other").alias("low"),
+            F.greatest("block", "other").alias("high"),
+            F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("half"),
+            "node",
+            "component",
+        )
     )
-    sketches = F.size("sketches")
-    turns = F.transform(F.sequence(F.lit(1), F.least(F.lit(FURTHER), sketches - 1)), lambda n: (F.col("last") + n) % sketches)
 
-    def dealt(rows: DataFrame) -> DataFrame:
-        further = rows.join(classes.select("node", "sketches"), "node").withColumnRenamed("turn", "last")
-        further = further.where(sketches > 1).withColumn("turn", F.explode(turns))
-        further = further.withColumn("bucket", F.xxhash64("bucket", F.get("sketches", F.col("turn"))))
-        return further.select("bucket", "node", "size", "weight", "turn", "component", "apart")
 
-    apart = scratch.keep(dealt(again.where("apart")))
-    if apart.isEmpty():
-        return apart
-    others = dealt(again.where("NOT apart")).join(apart.select("bucket").distinct(), "bucket", "left_semi")
-    finer = scratch.keep(apart.unionByName(others))
-    mixed = finer.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return scratch.keep(finer.join(mixed.where("low <> high").select("bucket"), "bucket"))
+def _tiled(tiles: DataFrame, classes: DataFrame, sequences: DataFrame, least: float) -> DataFrame:
+    """The links ``a, b`` between components that the tiles hold."""
+    names = ["bucket", "low", "high"]
+
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            open_tile = (rows[names] == rows[names].iloc[-1]).all(axis=1).to_numpy()
+            rest = rows[open_tile]
+            if not open_tile.all():
+                yield judged(rows[~open_tile])
+        if rest is not None:
+            yield judged(rest)
+
+    def judged(rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for (bucket, _, _), tile in rows.groupby(names, sort=False):
+            node = tile["node"].to_numpy()
+            whole = [np.frombuffer(s, dtype=np.uint64) for s in tile["sequence"]]
+            links = tile_links(bucket, tile["half"].to_numpy(), tile["component"].to_numpy(), whole, tile["sketches"].to_list(), least)
+            found += [(node[i], node[j]) for i, j in links]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    rows = tiles.join(classes.select("node", "sketches"), "node").join(sequences, "node")
+    return rows.repartition(*names).sortWithinPartitions(*names).mapInPandas(linked, "a long, b long")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -274,17 +377,11 @@ def _near_duplicates(keyed: DataFrame, words: int, least: float, scratch: Scratc
         .withColumn("node", F.monotonically_increasing_id())
     )
     ids = scratch.keep(keyed.groupBy("key_a", "key_b").agg(F.min("id").alias("least_id")))
-    in_buckets = classes.select("node", "size", F.posexplode("sketches").alias("turn", "sketch")).withColumn(
-        "bucket", F.xxhash64("sketch")
-    )
+    in_buckets = classes.select("node", "size", F.explode("sketches").alias("bucket"))
     shared = scratch.keep(in_buckets.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1"))
     members = in_buckets.join(shared, "bucket")
     weights = scratch.keep(members.groupBy("node").agg(F.sum("held").alias("weight")))
-    members = scratch.keep(
-        members.join(weights, "node").select(
-            "bucket", "node", "size", "weight", "turn", F.col("node").alias("component"), F.lit(True).alias("apart")
-        )
-    )
+    members = scratch.keep(members.join(weights, "node").select("bucket", "held", "node", "size", "weight"))
 
     # sequences of the texts that share a sketch with any other, one row for each
     wanted = classes.join(weights, "node", "left_semi").select("node", "key_a", "key_b")
@@ -304,22 +401,12 @@ def _near_duplicates(keyed: DataFrame, words: int, least: float, scratch: Scratc
 
     sequences = scratch.keep(texts.mapInPandas(sequenced, "node long, sequence binary").dropDuplicates(["node"]))
 
-    pairs = scratch.keep(_pairs(members, HUBS, least, scratch))
-    found = links = scratch.keep(_compared(pairs, sequences, least))
-    tested, hubs = pairs, HUBS
+    hubs = scratch.keep(_hubs(members))
+    links = scratch.keep(_compared(scratch.keep(_pairs(members, hubs, least)), sequences, least))
     of = components(links)
-    members = _with_components(members, of)
-    while not found.isEmpty():
-        members = _finer(members, hubs, classes, scratch)
-        if members.isEmpty():
-            break
-        hubs = FINER_HUBS
-        pairs = scratch.keep(_pairs(members, hubs, least, scratch).join(tested, ["a", "b"], "left_anti"))
-        found = scratch.keep(_compared(pairs, sequences, least))
-        tested, links = tested.unionByName(pairs), links.unionByName(found)
-        of = None  # no longer those of all links
-    if of is None:
-        of = components(links)
+    found = scratch.keep(_tiled(scratch.keep(_tiles(members, hubs, of, scratch)), classes, sequences, least))
+    if not found.isEmpty():
+        of = components(links.unionByName(found))
     graph = classes.select("key_a", "key_b", "node").join(of, "node", "left")
     graph = graph.withColumn("component", F.coalesce("component", "node")).join(ids, ["key_a", "key_b"])
     names = scratch.keep(graph.groupBy("component").agg(F.min("least_id").alias("component_id")))

@@ -104,6 +104,45 @@ def test_large_groups_are_linked_through_finer_buckets(make_docs, text_of, monke
     assert Counter((r.doc_id, r.component_id) for r in got) == plain_components(rows)
 
 
+def copies(text, count, edits, seed):
+    """Each with some words replaced by ones that no other copy has."""
+    rng, rows = random.Random(seed), []
+    for i in range(count):
+        words = text.split()
+        for spot in rng.sample(range(len(words)), edits):
+            words[spot] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def joined(links, count):
+    root = list(range(count))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in links:
+        root[max(find(i), find(j))] = min(find(i), find(j))
+    return [find(i) for i in range(count)]
+
+
+def test_many_copies_without_their_original(make_docs, text_of):
+    rows = copies(text_of(11, 104), 300, 2, 1)
+    parts = [shingles(t) for _, t in rows]
+    links = [(i, j) for i in range(300) for j in range(i) if near.alignment(parts[i], parts[j], 0.8) >= 0.8]
+    got = {r.doc_id: r.component_id for r in near.duplicate_classes(make_docs(rows)).collect()}
+    assert [got[i] for i in range(300)] == joined(links, 300)
+
+
+def test_common_counts():
+    rng = np.random.default_rng(4)
+    sides = [[rng.choice(9000, n, replace=False) for n in sizes] for sizes in ([0, 5, 8000], [7000, 0, 30, 1])]
+    counts = near.common_counts(*sides)
+    assert counts.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sides[1]] for a in sides[0]]
+
+
 def test_one_of_each_group_stays(make_docs, text_of):
     rows = cases(text_of)
     docs = make_docs(rows).selectExpr("*", "1 AS row", "2 AS near_a", "'x' AS stays")
