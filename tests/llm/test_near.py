@@ -136,6 +136,17 @@ def test_many_copies_without_their_original(make_docs, text_of):
     assert [got[i] for i in range(300)] == joined(links, 300)
 
 
+@pytest.mark.parametrize("block", [16, 128])
+def test_hubs_that_link_nothing_end_no_bucket(make_docs, text_of, monkeypatch, block):
+    monkeypatch.setattr(near, "HUBS", 0)
+    monkeypatch.setattr(near, "BLOCK", block, raising=False)
+    monkeypatch.setattr(near, "COUNTED", 50, raising=False)
+    rng = random.Random(6)
+    rows = [(1000 * k + i, edited(text_of(20 + k, 60), rng, 1 + i % 3)) for k in range(2) for i in range(50)]
+    got = near.duplicate_classes(make_docs(rows)).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == plain_components(rows)
+
+
 def test_common_counts():
     rng = np.random.default_rng(4)
     sides = [[rng.choice(9000, n, replace=False) for n in sizes] for sizes in ([0, 5, 8000], [7000, 0, 30, 1])]
