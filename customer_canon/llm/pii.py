@@ -62,7 +62,7 @@ def _is_valid(kind: str, value: Column) -> Column:
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """Array of ``start, end, value, before`` of all matches; ``before`` is the end of the piece before."""
+    """Array of ``start, end, value, before`` of all matches; ``before`` is the end of the text before it."""
     pieces = F.arrays_zip(
         F.split(text, pattern, -1).alias("piece"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value")
     )
@@ -70,24 +70,34 @@ def _matches(text: Column, pattern: str) -> Column:
 
     def placed(so_far: Column, part: Column) -> Column:
         start = so_far["at"] + F.length(part["piece"])
-        end = start + F.length(F.coalesce(part["value"], F.lit("")))
+        value = F.coalesce(part["value"], F.lit(""))
+        end = start + F.length(value)
+        before = _tail(F.concat(so_far["tail"], part["piece"]))
         match = F.struct(
             start.alias("start"),
             end.alias("end"),
             part["value"].alias("value"),
-            F.substring(part["piece"], -CONTEXT_CHARS, CONTEXT_CHARS).alias("before"),
+            before.alias("before"),
         )
         found = F.when(part["value"].isNull(), so_far["found"]).otherwise(F.concat(so_far["found"], F.array(match)))
-        return F.struct(end.alias("at"), found.alias("found"))
+        tail = _tail(F.concat(before, value))
+        return F.struct(end.alias("at"), tail.alias("tail"), found.alias("found"))
 
-    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("found")), placed, lambda a: a["found"])
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("found"))
+    return F.aggregate(pieces, start, placed, lambda a: a["found"])
+
+
+def _tail(text: Column) -> Column:
+    return F.substring(text, -CONTEXT_CHARS, CONTEXT_CHARS)
 
 
 def _context(before: Column) -> Column:
     """The last two words before a match, lowered; null where there are fewer or one may be cut off."""
     words = F.split(F.lower(before), "\\s+")
+    # of a full ``before`` the first word may have begun earlier; it is empty if a blank comes first
+    words = F.when(F.length(before) >= CONTEXT_CHARS, F.slice(words, 2, CONTEXT_CHARS)).otherwise(words)
     words = F.filter(words, lambda w: w != "")
-    return F.when(F.size(words) > 2, F.concat_ws(" ", F.slice(words, -2, 2)))
+    return F.when(F.size(words) >= 2, F.concat_ws(" ", F.slice(words, -2, 2)))
 
 
 def _spans(text: Column, kind: str) -> Column:

@@ -86,6 +86,26 @@ def test_contexts_give_identifiers_away(make_docs, text_of):
     assert all(len(rows[i].spans) == 1 for i, _ in seeds)
 
 
+def test_contexts_of_two_words_and_after_other_identifiers(make_docs, text_of):
+    seeds = [(i, f"Phone number +1 (456) 555-2{i:03d} {text_of(i, 9)}") for i in range(12)]
+    unseen = ["Phone number 0176 555 0100", "a1@x.org phone number 0176 555 0100", "4 b2@x.org phone  number\t0176 555 0100!"]
+    docs = make_docs(seeds + [(100 + i, t) for i, t in enumerate(unseen)])
+    rows = {r.doc_id: r for r in pii.find_personal_data(docs).collect()}
+    for i, text in enumerate(unseen):
+        phones = [text[s.start : s.end] for s in rows[100 + i].spans if s.kind == "phone"]
+        assert phones == ["0176 555 0100"] and not any(s.kind == "phone" for s in rows[100 + i].base)
+    texts = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
+    assert texts[101] == "[EMAIL] phone number [PHONE]"
+
+
+def test_context_has_whole_words(spark):
+    long = "w" * (pii.CONTEXT_CHARS - 5)
+    cases = {"": None, "one ": None, "One two ": "one two", "a b c ": "b c", f"x{long} two ": None, f"{long[:-9]}  two three ": "two three"}
+    cases |= {f"{long[:-4]} two xyz"[-pii.CONTEXT_CHARS :]: "two xyz", f" {long} two"[-pii.CONTEXT_CHARS :]: f"{long} two"}
+    rows = spark.createDataFrame([(c,) for c in cases], "before string").select("before", pii._context(F.col("before")).alias("c")).collect()
+    assert {r.before: r.c for r in rows} == cases
+
+
 def test_redaction(make_docs):
     docs = make_docs([(1, "é mail a@b.cd, ip 1.2.3.4!"), (2, None), (3, "clean"), (3, "clean"), (4, "a@1.2.3.4")])
     docs = docs.selectExpr("*", "1 AS text2", "'x' AS more", "2 AS row", "3 AS id")
