@@ -1,7 +1,8 @@
 """Packing of token windows by order-preserving dynamic programming.
 
 Documents are laid end to end in input order, each closed by one id. Windows may end after a document, after a
-sentence, or, where neither comes in time, anywhere. Of all such cuts the dynamic program takes those with
+sentence, a full window after either, or after any token of a stretch where neither comes for a sixteenth of a window. Of
+all such cuts the dynamic program takes those with
 the least padding plus penalties: none after a document, a few tokens for a cut sentence end, many elsewhere. Since
 a window's padding depends on its two ends separately, the best start for each end is the minimum of a sliding
 window over values already known, which a monotone queue gives in constant time.
@@ -34,6 +35,9 @@ MOST_WORDS = 150_000
 #: Tokens of one block.
 BLOCK = 1 << 20
 
+#: Share of a window from which on a stretch without such ends may be cut after any token.
+SELDOM = 1 / 16
+
 #: Penalties of a cut, in tokens of padding.
 AT_DOCUMENT, AT_SENTENCE, ELSEWHERE = 0, 2, 16
 
@@ -97,13 +101,15 @@ def text_encoder(tokenizer_file: str, ranks_file: str | None = None) -> Callable
 
 def sentence_ends(tokenizer_file: str) -> np.ndarray:
     """For every id, whether a sentence or line may end after it."""
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
+    as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    marks = (".", "!", "?", *[as_bytes(mark)[0][0] for mark in ("\n", "。", "！", "？")])  # as byte-level BPE writes them
     ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
     for number in range(len(ends)):
         token = tokenizer.id_to_token(number) or ""
-        ends[number] = token.endswith((".", "!", "?", "Ċ"))  # the last is how byte-level BPE writes a line feed
+        ends[number] = token.endswith(marks)
     return ends
 
 
@@ -154,11 +160,10 @@ class _Block:
             places.append(np.array([at]))
             penalties.append(np.array([float(AT_DOCUMENT)]))
         places, penalties = np.concatenate(places), np.concatenate(penalties)
-        # a window may also be filled to the brim from any place, and again from there where places are far apart
+        # a window may also be filled to the brim from any place, and end anywhere between places that are far apart
         full = places + self.window
-        wide = np.flatnonzero(np.diff(places) > self.window)
-        more = [np.arange(full[i], places[i + 1], self.window) for i in wide]
-        extra = np.concatenate([full[full < places[-1]], *more])
+        gaps = np.diff(places)
+        extra = np.concatenate([full[full < places[-1]], np.flatnonzero(np.repeat(gaps > SELDOM * self.window, gaps))])
         places = np.concatenate([places, extra])
         penalties = np.concatenate([penalties, np.full(len(extra), float(ELSEWHERE))])
         order = np.lexsort((penalties, places))

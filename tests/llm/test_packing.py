@@ -77,6 +77,21 @@ def test_round_trip(make_docs, text_of, window):
     assert window == 32 or total > 0.9 * window * (n - 3)
 
 
+@pytest.mark.parametrize("lengths", [(700, 700), (600, 1000), (1100, 3000)])
+def test_little_padding_without_sentence_ends(make_docs, lengths):
+    rng = random.Random(2)
+    docs = [(i, "the" + " the" * (rng.randint(*lengths) - 2)) for i in range(80)]
+    rows = packing.pack_documents(make_docs(docs).coalesce(1), *FILES, with_ids=True).collect()
+    n = check(rows, docs, 1024)
+    assert sum(r.length for r in rows) > 0.98 * 1024 * (n - 1)
+
+
+def test_ideographic_sentence_ends():
+    ends = packing.sentence_ends(FILES[0])
+    assert sum(ends[TOKENIZER.encode("中。").ids]) == (TOKENIZER.token_to_id("ãĢĤ") is not None)
+    assert ends[TOKENIZER.encode("a\n").ids[-1]] and ends[TOKENIZER.encode("a.").ids[-1]]
+
+
 def test_blocks_are_carried_over(make_docs, text_of, monkeypatch):
     monkeypatch.setattr(packing, "BLOCK", 500)
     docs = [(i, text_of(i, 60)) for i in range(40)]
