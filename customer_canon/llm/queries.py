@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from customer_canon.llm import licenses, mixing, near, packing, pii, quality, rules, sharding, stats, urls, vectors
+from customer_canon.llm import exact, licenses, mixing, near, packing, pii, quality, rules, sharding, stats, urls, vectors
 from customer_canon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,10 @@ def op10_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.duplicate_rows(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
@@ -102,9 +106,11 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_personal_data": op9_personal_data,
     "op10_embedding_duplicates": op10_embedding_duplicates,
+    "op11_exact_duplicates": op11_exact_duplicates,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_filters": urls.URLS_SQL,
     "op5_mixing": mixing.MIX_SQL,
+    "op11_exact_duplicates": exact.EXACT_SQL,
 }
