@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from customer_canon.llm import exact, licenses, mixing, near, packing, pii, quality, rules, sharding, stats, urls, vectors
+from customer_canon.llm import exact, licenses, mixing, near, packing, pii, quality, rules, search, sharding, stats, urls, vectors
 from customer_canon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicate_rows(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return search.ranked_search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
@@ -107,10 +112,12 @@ QUERIES: dict[str, Query] = {
     "op9_personal_data": op9_personal_data,
     "op10_embedding_duplicates": op10_embedding_duplicates,
     "op11_exact_duplicates": op11_exact_duplicates,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
     "op1_url_filters": urls.URLS_SQL,
     "op5_mixing": mixing.MIX_SQL,
     "op11_exact_duplicates": exact.EXACT_SQL,
+    "op12_ranked_search": search.SEARCH_SQL,
 }

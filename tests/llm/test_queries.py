@@ -11,7 +11,7 @@ from customer_canon.llm.queries import ORACLES, QUERIES
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_equals_sql(spark, query_dir, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "labels"):
+    for table in ("documents", "pages", "embeddings", "labels", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{query_dir}/{table}.parquet'")
     frame = QUERIES[name](spark, query_dir)
     expected = duck.execute(ORACLES[name])
