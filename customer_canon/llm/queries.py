@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from customer_canon.llm import exact, licenses, mixing, near, packing, pii, quality, rules, search, sharding, stats, urls, vectors
+from customer_canon.llm import exact, licenses, mixing, near, packing, phrases, pii, quality, rules, search, sharding, stats, urls, vectors
 from customer_canon.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.ranked_search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filters": op1_url_filters,
     "op2_sharding": op2_sharding,
@@ -113,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op10_embedding_duplicates": op10_embedding_duplicates,
     "op11_exact_duplicates": op11_exact_duplicates,
     "op12_ranked_search": op12_ranked_search,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLES: dict[str, str] = {
@@ -120,4 +125,5 @@ ORACLES: dict[str, str] = {
     "op5_mixing": mixing.MIX_SQL,
     "op11_exact_duplicates": exact.EXACT_SQL,
     "op12_ranked_search": search.SEARCH_SQL,
+    "op13_collocations": phrases.PHRASES_SQL,
 }
