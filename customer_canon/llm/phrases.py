@@ -1,16 +1,17 @@
-"""Collocations by Toivonen's mining: a sample proposes phrases, one pass counts them and their negative border.
+"""Collocations by Toivonen's mining: a sample proposes phrases, full passes count them and their negative border.
 
 The sample gives the words and pairs that reach a lowered support there. With them, the phrases proposed and their negative
-border are: every word, every pair of two proposed words, and every triple of two proposed pairs. The full pass counts
-all of these exactly. Where a word or pair reaches the support that the sample did not propose, the border has failed:
-it is added to the proposed ones, and a further pass counts the phrases that this lets in, until no new one is frequent.
-A part of a frequent phrase is frequent, so then no phrase can be missing; this takes three passes at most. The
-sample decides how many passes there are, never the result.
-
-Tasks hold the proposed phrases as a bit map of 16 MB, whatever the corpus. Two phrases on one bit let a few more phrases be
-counted, which changes nothing. Within a task, words become numbers and phrases sums of them, so that a block of
-words is counted by sorting; a phrase leaves a block as one row, however often it occurs. The scores come from joins of the
-frequent phrases with their parts.
+border are: every word, every pair of two proposed words, and every triple of two proposed pairs. The first full pass counts
+all of these by a hash of 64 bits. Such a count is exact unless two phrases share a hash, and never too low, so a phrase below
+the support is not frequent. The second one counts what reached it exactly, by its words. Where words or pairs
+of the border are among that, the sample has failed: the pass then also counts every pair of frequent words that the first left out,
+and every triple with such a pair or with one that was not proposed. A part of a frequent phrase is frequent, so
+no phrase can be missing then, and no further pass can find one. The sample decides how much is counted, never the result.
+
+Tasks hold the proposed phrases, and later the hashes that reached the support, as a bit map of 16 MB, whatever the corpus. Two
+phrases on one bit let a few more be counted, which changes nothing. Within a task, words become numbers, so that a block of
+words is counted by sorting; a phrase leaves a block once, however often it occurs. Hashes travel and are summed as
+arrays. The scores come from joins of the frequent phrases with their parts.
 
 Nulls: a null text is empty, a null language is ``und``. Texts without words add nothing. Whole texts are read, of any length;
 one longer than a block is a block alone. Repeated rows count each time. Ties of all sort columns cannot be, since a
@@ -35,11 +36,13 @@ from customer_canon.llm.common import Scratch, cut, shuffle_partitions
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes(46 if b in _ENDS else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Words that are counted at once; and the bits of a word's number in a block, of which it has fewer distinct ones.
-BLOCK_WORDS, NUMBER_BITS = 1 << 22, 21
+BLOCK_WORDS, NUMBER_BITS = 1 << 21, 21
 #: Bits of the map of proposed phrases, as a power of 2, and those that are collected as one row.
 MAP_BITS, ROW_BITS = 27, 18
 #: Rows of a batch that leaves a block.
 OUT_ROWS = 200_000
+#: Hashes that a task holds before it sums equal ones.
+HELD = 1 << 22
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -77,6 +80,16 @@ def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
 
 
+def _tripled(first: np.ndarray, second: np.ndarray, third: np.ndarray) -> np.ndarray:
+    return _paired(_paired(first, second), third)
+
+
+def _both(flags: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Where a word and the next one have their flag."""
+    flags = flags[of]
+    return flags[:-1] & flags[1:]
+
+
 class _Block:
     """Words of some texts, as numbers."""
 
@@ -84,6 +97,7 @@ class _Block:
         self.words, self.hashes, self.langs = [b"."], [0], [None]
         self.numbers: dict[str, _Numbers] = {}
         self.texts: list[np.ndarray] = []
+        self.totals: dict[str, int] = {}
         self.length = 0
 
     def add(self, lang: str, text: bytes) -> None:
@@ -91,48 +105,67 @@ class _Block:
         words.append(b".")
         if lang not in self.numbers:
             self.numbers[lang] = _Numbers(_seed(lang), self.words, self.hashes, self.langs, lang)
-        self.texts.append(np.fromiter(map(self.numbers[lang].__getitem__, words), dtype=np.int64, count=len(words)))
+        self.texts.append(np.fromiter(map(self.numbers[lang].__getitem__, words), dtype=np.int32, count=len(words)))
+        self.totals[lang] = self.totals.get(lang, 0) + len(words) - words.count(b".")
         self.length += len(words)
 
     def full(self) -> bool:
         return self.length >= BLOCK_WORDS or len(self.words) >= 1 << (NUMBER_BITS - 1)
 
-    def counted(self, before: np.ndarray | None, proposed: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Numbers of the words of phrases, a row for each, and how often they occur.
+    def hashed(self, proposed: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Hashes and counts of all words, of the pairs of proposed words, and of the triples of proposed pairs.
 
-        These are the phrases with two proposed parts, or all words and pairs where nothing is proposed yet, but for
-        those of which both parts were proposed ``before``, and but for single words if there was a pass before.
+        Where nothing is proposed yet: of all words and pairs.
         """
-        of = np.concatenate(self.texts)
-        hashes = np.array(self.hashes, dtype=np.uint64)
-        within = (of[:-1] > 0) & (of[1:] > 0)
-        pairs = within.copy()
-        if before is None:
-            words = np.bincount(of, minlength=len(self.words))
-            words[0] = 0
-            some = np.flatnonzero(words)
-            yield some[:, None], words[some]
+        of, hashes = np.concatenate(self.texts), np.array(self.hashes, dtype=np.uint64)
+        words = np.bincount(of, minlength=len(hashes))
+        yield hashes[1:], words[1:]
+        pairs = (of[:-1] > 0) & (of[1:] > 0)
+        if proposed is not None:
+            pairs &= _both(_held(proposed, hashes), of)
+        phrases, counts = self._distinct([of[:-1][pairs], of[1:][pairs]])
+        yield _paired(*hashes[phrases].T), counts
         if proposed is not None:
-            known = _held(proposed, hashes)
-            pairs &= known[of[:-1]] & known[of[1:]]
-        if before is not None:
-            known = _held(before, hashes)
-            pairs &= ~(known[of[:-1]] & known[of[1:]])
+            pairs = self._proposed_pairs(of, hashes, proposed)
+            triples = pairs[:-1] & pairs[1:]
+            phrases, counts = self._distinct([of[k : len(of) - 2 + k][triples] for k in range(3)])
+            yield _tripled(*hashes[phrases].T), counts
+
+    @staticmethod
+    def _proposed_pairs(of: np.ndarray, hashes: np.ndarray, proposed: np.ndarray) -> np.ndarray:
+        """Where a pair of two proposed words is proposed itself."""
+        pairs = (of[:-1] > 0) & (of[1:] > 0) & _both(_held(proposed, hashes), of)
+        pairs[pairs] = _held(proposed, _paired(hashes[of[:-1][pairs]], hashes[of[1:][pairs]]))
+        return pairs
+
+    def counted(self, proposed: np.ndarray, reached: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Numbers of the words of phrases, a row for each, and their counts.
+
+        These are the phrases whose hash ``reached`` the support, and those of which it was not counted though their
+        parts may be frequent.
+        """
+        of, hashes = np.concatenate(self.texts), np.array(self.hashes, dtype=np.uint64)
+        frequent = _held(reached, hashes)
+        words = np.bincount(of, minlength=len(hashes))
+        words[0] = 0
+        some = np.flatnonzero((words > 0) & frequent)
+        yield some[:, None], words[some]
+        pairs = (of[:-1] > 0) & (of[1:] > 0) & _both(frequent, of)
+        known = _both(_held(proposed, hashes), of) & pairs
+        pairs[known] = _held(reached, _paired(hashes[of[:-1][known]], hashes[of[1:][known]]))
         yield self._distinct([of[:-1][pairs], of[1:][pairs]])
-        if proposed is not None and len(of) > 2:
-            both = _paired(hashes[of[:-1]], hashes[of[1:]])
-            known = _held(proposed, both) & within
-            triples = known[:-1] & known[1:]
-            if before is not None:
-                known = _held(before, both) & within
-                triples &= ~(known[:-1] & known[1:])
-            yield self._distinct([of[:-2][triples], of[1:-1][triples], of[2:][triples]])
+        triples = pairs[:-1] & pairs[1:]
+        known = self._proposed_pairs(of, hashes, proposed)
+        known = known[:-1] & known[1:] & triples
+        triples[known] = _held(reached, _tripled(*(hashes[of[k : len(of) - 2 + k][known]] for k in range(3))))
+        yield self._distinct([of[k : len(of) - 2 + k][triples] for k in range(3)])
 
     @staticmethod
     def _distinct(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         keys = np.zeros(len(parts[0]), dtype=np.int64)
         for part in parts:
-            keys = keys << NUMBER_BITS | part
+            keys <<= NUMBER_BITS
+            keys |= part
         keys, counts = np.unique(keys, return_counts=True)
         shifts = [NUMBER_BITS * k for k in range(len(parts))][::-1]
         return np.stack([keys >> shift & (1 << NUMBER_BITS) - 1 for shift in shifts], axis=1), counts
@@ -150,56 +183,72 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
         yield block
 
 
-def _sampled(docs: DataFrame, least: int) -> DataFrame:
-    """``hash`` of the words and pairs that occur ``least`` times in ``docs``."""
+def _summed_arrays(hashes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = np.concatenate([np.empty(0, dtype=np.uint64), *hashes]), np.concatenate([np.empty(0, dtype=np.int64), *counts])
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts, first)
 
-    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _reaching(docs: DataFrame, proposed, least: int) -> DataFrame:
+    """``hash`` of the phrases that occur ``least`` times, if they have no or only proposed parts."""
+    parts = shuffle_partitions(docs)
+    buckets = 8 * parts
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
-            hashes = np.array(block.hashes, dtype=np.uint64)
-            for phrases, counts in block.counted(None, None):
-                of = hashes[phrases[:, 0]] if phrases.shape[1] == 1 else _paired(*hashes[phrases].T)
-                yield pa.RecordBatch.from_arrays([pa.array(of.view(np.int64)), pa.array(counts)], names=["hash", "count"])
+            hashes, counts = zip(*block.hashed(proposed.value if proposed else None))
+            hashes, counts = np.concatenate(hashes), np.concatenate(counts).astype(np.uint32)
+            bucket = (hashes >> np.uint64(32)) % np.uint64(buckets)
+            order = np.argsort(bucket)
+            hashes, counts, bucket = hashes[order], counts[order], bucket[order]
+            held = np.unique(bucket)
+            ends = np.searchsorted(bucket, held, side="right")
+            starts = np.concatenate([[0], ends[:-1]])
+            blobs = [[values[s:e].tobytes() for s, e in zip(starts, ends)] for values in (hashes, counts)]
+            names = ["bucket", "hashes", "counts"]
+            yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), *map(pa.array, blobs)], names=names)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, size = [], [], 0
+        for batch in batches:
+            hashes += [np.frombuffer(b, dtype=np.uint64) for b in batch.column("hashes").to_pylist()]
+            counts += [np.frombuffer(b, dtype=np.uint32).astype(np.int64) for b in batch.column("counts").to_pylist()]
+            size += sum(map(len, hashes[-batch.num_rows :]))
+            if size > HELD:
+                hashes, counts = ([x] for x in _summed_arrays(hashes, counts))
+                size = 0
+        found, total = _summed_arrays(hashes, counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found[total >= least].view(np.int64))], names=["hash"])
 
-    found = docs.mapInArrow(sampled, "hash long, count long")
-    return found.groupBy("hash").agg(F.sum("count").alias("count")).where(F.col("count") >= least).select("hash")
+    dealt = docs.mapInArrow(hashed, "bucket int, hashes binary, counts binary").repartition(parts, "bucket")
+    return dealt.mapInArrow(summed, "hash long")
 
 
-def _counted(docs: DataFrame, before, proposed) -> DataFrame:
-    """``lang, phrase, count`` of the words, pairs and triples that a pass has to count, a row for each block."""
+def _counted(docs: DataFrame, proposed, reached) -> DataFrame:
+    """``lang, phrase, count`` of what the second pass has to count, a row for each block; a null phrase for all words."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        earlier = before.value if before else None
+        names = ["lang", "phrase", "count"]
         for block in _blocks(batches):
             words = pa.array(block.words, type=pa.binary()).cast(pa.string())
             langs = pa.array(block.langs, type=pa.string())
-            for phrases, counts in block.counted(earlier, proposed.value):
+            for phrases, counts in block.counted(proposed.value, reached.value):
                 for at in range(0, len(counts), OUT_ROWS):
                     some = phrases[at : at + OUT_ROWS]
                     parts = [words.take(pa.array(column)) for column in some.T]
                     phrase = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
                     columns = [langs.take(pa.array(some[:, 0])), phrase, pa.array(counts[at : at + OUT_ROWS])]
-                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "count"])
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+            found = [pa.array(list(block.totals), pa.string()), pa.nulls(len(block.totals), pa.string())]
+            yield pa.RecordBatch.from_arrays([*found, pa.array(block.totals.values(), pa.int64())], names=names)
 
     return docs.mapInArrow(counted, "lang string, phrase string, count long")
 
 
-def _hashes(phrases: DataFrame, proposed) -> DataFrame:
-    """``hash`` of the words and pairs among ``lang, phrase`` that are not yet proposed."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for lang, phrase in zip(*(c.to_pylist() for c in batch.columns)):
-                each = [np.array([xxhash.xxh3_64_intdigest(w, _seed(lang))], dtype=np.uint64) for w in phrase.encode().split(b" ")]
-                if len(each) < 3:
-                    found.append(_paired(*each) if len(each) == 2 else each[0])
-            found = np.concatenate([np.empty(0, dtype=np.uint64), *found])
-            found = found[~_held(proposed.value, found)]
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
-
-    return phrases.select("lang", "phrase").mapInArrow(hashed, "hash long")
-
-
 def _map_of(hashes: DataFrame) -> np.ndarray:
     """The bit map of the hashes: 512 rows of 32 KB to the driver, however many hashes there are."""
     place = F.shiftrightunsigned("hash", 64 - MAP_BITS)
@@ -217,34 +266,19 @@ def _map_of(hashes: DataFrame) -> np.ndarray:
     return whole
 
 
-def frequent_phrases(docs: DataFrame, scratch: Scratch, support: int, share: float, lang_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``lang, phrase, count`` of all words, pairs and triples with ``support``, and ``lang, n`` of all words."""
-    spark = docs.sparkSession
+def frequent_phrases(docs: DataFrame, support: int, share: float, lang_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    """``lang, phrase, count`` of all words, pairs and triples with ``support``; a null phrase counts all words."""
+    broadcast = docs.sparkSession.sparkContext.broadcast
     lang = F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang")
     texts = docs.select(lang, F.coalesce(docs[text_col], F.lit("")).cast("binary").alias("text"))
     expected = share * support
-    sample = _sampled(texts.sample(fraction=share, seed=1), max(2, int(expected - expected**0.5)))
-    bits = _map_of(scratch.keep(sample))
-    before, proposed = None, spark.sparkContext.broadcast(bits)
-    frequent = lengths = None
-    while True:
-        # blocks have combined equal phrases: they are dealt once and summed where they arrive
-        dealt = _counted(texts, before, proposed).repartition(shuffle_partitions(texts), "lang", "phrase")
-        counts = dealt.groupBy("lang", "phrase").agg(F.sum("count").alias("count"))
-        if frequent is None:
-            # single words of any count are needed for n, of phrases only the frequent ones
-            counts = scratch.keep(counts.where((F.col("count") >= support) | ~F.col("phrase").contains(" ")))
-            lengths = counts.where(~F.col("phrase").contains(" ")).groupBy("lang").agg(F.sum("count").alias("n"))
-            fresh = counts.where(F.col("count") >= support)
-            frequent = fresh
-        else:
-            fresh = scratch.keep(counts.where(F.col("count") >= support))
-            frequent = frequent.unionByName(fresh)
-        failed = scratch.keep(_hashes(fresh, proposed))
-        if failed.isEmpty():
-            return frequent, lengths
-        bits = bits | _map_of(failed)
-        before, proposed = proposed, spark.sparkContext.broadcast(bits)
+    sample = _reaching(texts.sample(fraction=share, seed=1), None, max(2, int(expected - expected**0.5)))
+    proposed = broadcast(_map_of(scratch.keep(sample)))
+    reached = broadcast(_map_of(scratch.keep(_reaching(texts, proposed, support))))
+    # blocks have combined equal phrases: they are dealt once and summed where they arrive
+    dealt = _counted(texts, proposed, reached).repartition(shuffle_partitions(texts), "lang", "phrase")
+    counts = dealt.groupBy("lang", "phrase").agg(F.sum("count").alias("count"))
+    return scratch.keep(counts.where((F.col("count") >= support) | F.col("phrase").isNull()))
 
 
 def collocations(
@@ -263,9 +297,10 @@ def collocations(
     documents are the sample; it has no influence on the result.
     """
     with Scratch(docs.sparkSession) as scratch:
-        frequent, lengths = frequent_phrases(docs, scratch, support, share, lang_col, text_col)
+        counts = frequent_phrases(docs, support, share, lang_col, text_col, scratch)
+        lengths = counts.where("phrase IS NULL AND count > 0").select("lang", F.col("count").alias("n"))
         words = F.split("phrase", " ")
-        sized = frequent.select("lang", "phrase", F.col("count").alias("a"), words.alias("words"), F.size(words).alias("size"))
+        sized = counts.where("phrase IS NOT NULL").select("lang", "phrase", F.col("count").alias("a"), words.alias("words"), F.size(words).alias("size"))
         sized = scratch.keep(sized)
 
         def joined(start: int, length: int):
@@ -290,7 +325,7 @@ def collocations(
         scored = worst.select("lang", "phrase", "a", "worst.l", "worst.r", "worst.score")
         order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
         ranked = scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= most)
-        return cut(ranked.join(F.broadcast(scratch.keep(lengths)), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
+        return cut(ranked.join(lengths, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"))
 
 
 PHRASES_SQL = r"""
