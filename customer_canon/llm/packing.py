@@ -1,11 +1,10 @@
 """Packing of token windows by order-preserving dynamic programming.
 
 Documents are laid end to end in input order, each closed by one id. Windows may end after a document, after a
-sentence, a full window after either, or after any token of a stretch where neither comes for a sixteenth of a window. Of
-all such cuts the dynamic program takes those with
-the least padding plus penalties: none after a document, a few tokens for a cut sentence end, many elsewhere. Since
-a window's padding depends on its two ends separately, the best start for each end is the minimum of a sliding
-window over values already known, which a monotone queue gives in constant time.
+sentence, a full window after either, or every 16 tokens of a stretch where neither comes for a sixteenth of a window. Of
+all such cuts the dynamic program takes those with the least padding plus penalties: none after a document, a few
+tokens for a cut sentence end, many elsewhere. Since a window's padding depends on its two ends separately, the best start
+for each end is the minimum of a sliding window over values already known, which a monotone queue gives in constant time.
 
 Each task packs its own rows and holds one block of them at a time; the open end of a block starts the next one. So
 a task pads one window more than a single pass over all rows would, and nothing is shuffled. Sequence ids are
@@ -28,73 +27,45 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-#: Ids of white space followed by a blank: the ids of the words on both sides may then depend on each other.
-_JOINED = re.compile(r"\s ")
-#: Words whose ids are kept in memory by one task.
-MOST_WORDS = 150_000
+#: Characters beyond Latin letters and the common marks.
+_OTHER = re.compile("[^\x00-\u024f\u2010-\u2027]")
 #: Tokens of one block.
 BLOCK = 1 << 20
 
-#: Share of a window from which on a stretch without such ends may be cut after any token.
-SELDOM = 1 / 16
+#: Share of a window from which on a stretch without such ends may be cut anywhere, and the tokens from one cut to the next.
+SELDOM, STEP = 1 / 16, 16
 
 #: Penalties of a cut, in tokens of padding.
 AT_DOCUMENT, AT_SENTENCE, ELSEWHERE = 0, 2, 16
 
 
-class WordIds(dict):
-    """Little-endian 32-bit ids of words, each taken with the blank before it; computed when first asked for."""
-
-    def __init__(self, encode: Callable[[str], bytes]):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(" " + word)
-        if len(self) < MOST_WORDS:
-            self[word] = ids
-        return ids
-
-
 def text_encoder(tokenizer_file: str, ranks_file: str | None = None) -> Callable[[str], bytes]:
-    """Text to ids as bytes, exactly those of ``tokenizer_file`` without added special tokens.
+    """Text to little-endian 32-bit ids, exactly those of ``tokenizer_file`` without added special tokens.
 
-    In byte-level BPE with the usual word pattern no token spans a blank that follows a character other than white
-    space. So the text is cut there, and each word's ids are computed once. Texts with other white space
-    before blanks, or with a special token in them, go to the tokenizer whole. ``ranks_file`` may hold the same
-    vocabulary as ranks, which encode a word faster; words beyond Latin letters go to the tokenizer all the same.
+    ``ranks_file`` may hold the same vocabulary as ranks; then texts of Latin letters and common marks are encoded from
+    it, which is several times faster. Texts with other characters or a special token go to the tokenizer.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_file)
-    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def whole(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    word_ids = whole
-    if ranks_file:
-        import public_tokenizers
-        import tiktoken
-
-        with open(ranks_file, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        fast = tiktoken.Encoding(
-            "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
-        )
+    if not ranks_file:
+        return whole
+    import public_tokenizers
+    import tiktoken
 
-        def word_ids(word: str) -> bytes:
-            if max(word) < "ɐ":
-                return np.array(fast.encode_ordinary(word), dtype="<u4").tobytes()
-            return whole(word)
-
-    known = WordIds(word_ids)
+    with open(ranks_file, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> bytes:
-        if _JOINED.search(text) or any(token in text for token in special):
+        if _OTHER.search(text) or any(token in text for token in special):
             return whole(text)
-        first, *words = text.split(" ")
-        return (word_ids(first) if first else b"") + b"".join(map(known.__getitem__, words))
+        return np.array(fast.encode_ordinary(text), dtype="<u4").tobytes()
 
     return encode
 
@@ -163,7 +134,9 @@ class _Block:
         # a window may also be filled to the brim from any place, and end anywhere between places that are far apart
         full = places + self.window
         gaps = np.diff(places)
-        extra = np.concatenate([full[full < places[-1]], np.flatnonzero(np.repeat(gaps > SELDOM * self.window, gaps))])
+        wide = np.flatnonzero(gaps > SELDOM * self.window)
+        inside = [np.arange(places[i] + STEP, places[i + 1], STEP) for i in wide]
+        extra = np.concatenate([full[full < places[-1]], *inside])
         places = np.concatenate([places, extra])
         penalties = np.concatenate([penalties, np.full(len(extra), float(ELSEWHERE))])
         order = np.lexsort((penalties, places))

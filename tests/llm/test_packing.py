@@ -27,6 +27,13 @@ def test_ids_equal_the_tokenizer(text):
     assert np.frombuffer(ENCODE(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_whole_documents_equal_the_tokenizer(spark, sf_dir):
+    texts = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect() if r.text is not None]
+    assert len(texts) > 100
+    for text in [*texts, "".join(map(chr, range(0x250))), " ".join(map(chr, range(0x250))), "“a” ‘b’ – c… " * 9]:
+        assert np.frombuffer(ENCODE(text), "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 def check(rows, docs, window):
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in rows:
