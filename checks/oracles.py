@@ -130,6 +130,14 @@ def _required_fields() -> str:
     )
 
 
+# rows of a customer over all sources: suppliers, then customers, then orders
+_RANKED = f"""{_STRICT_ALL}, best AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY country, tax_id
+    ORDER BY CASE source_system WHEN 'ERP_C' THEN 1 WHEN 'ERP_A' THEN 2 ELSE 3 END,
+      external_id, name NULLS FIRST, email NULLS FIRST) AS place
+  FROM identified WHERE is_valid)"""
+
 ORACLES: dict[str, str] = {
     "map_source_a": _MAPPED.format(_EXTRACTS["ERP_A"]),
     "map_source_b": _MAPPED.format(_EXTRACTS["ERP_B"]),
@@ -218,4 +226,16 @@ ORACLES: dict[str, str] = {
       SELECT external_id, CASE WHEN turn < 2 THEN 'Malformed record' ELSE {_REASON.removesuffix(" AS reason")} END AS reason,
         CASE turn WHEN 0 THEN three || two || ',extra' WHEN 1 THEN three END AS raw_line
       FROM lines WHERE turn < 2 OR NOT is_valid""",
+    "survivors_by_source": f"{_RANKED} SELECT source_system, {_CANONICAL}, customer_id FROM best WHERE place = 1",
+    "lineage": f"""{_RANKED}
+      SELECT b.customer_id, b.source_system, b.external_id,
+        s.source_system AS survivor_system, s.external_id AS survivor_id
+      FROM best b JOIN best s ON s.customer_id = b.customer_id AND s.place = 1""",
+    "new_customers": f"""{_STRICT_ALL}
+      SELECT DISTINCT customer_id, tax_id, country FROM identified n
+      WHERE is_valid AND source_system = 'ERP_B' AND NOT EXISTS (
+        SELECT 1 FROM identified o WHERE o.is_valid AND o.source_system = 'ERP_C' AND o.customer_id = n.customer_id)""",
+    "sources_run": f"""{_RANKED}
+      SELECT b.customer_id, b.source_system, b.external_id, s.source_system AS survivor_system
+      FROM best b JOIN best s ON s.customer_id = b.customer_id AND s.place = 1""",
 }

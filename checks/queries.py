@@ -16,7 +16,9 @@ from customer_canon.operators import (
     any_per_customer,
     carried_columns,
     classify,
+    first_by_source,
     identify,
+    lineage,
     map_columns,
     process,
     required_source_fields,
@@ -24,7 +26,9 @@ from customer_canon.operators import (
     with_provenance,
 )
 from customer_canon.plans.job import JobArgs, run_job
+from customer_canon.plans.known import run_new_customers
 from customer_canon.plans.run import process_csv, run, unique_customers
+from customer_canon.plans.several import run_sources
 from customer_canon.rules import DF_PARITY, Rules
 from customer_canon.schema import (
     CANONICAL_FIELDS,
@@ -329,6 +333,43 @@ def rejected_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_rejected(spark, f"{out}/rejected", schema).select("external_id", "reason", "raw_line")
 
 
+# --- several runs, several sources -------------------------------------------
+
+#: Suppliers before customers before orders.
+PRIORITY = ("ERP_C", "ERP_A", "ERP_B")
+
+
+def _accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    frames = [process(extract(spark, sf_dir, s), provider_for(s))[0].withColumn("source_system", F.lit(s)) for s in SOURCES]
+    return _union(frames)
+
+
+def survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer over all three sources, by priority."""
+    return identify(first_by_source(_accepted(spark, sf_dir), PRIORITY)).drop("reason", "reason_detail")
+
+
+def lineage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineage(_accepted(spark, sf_dir), PRIORITY)
+
+
+def new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of a second run, over orders, that the first one, over suppliers, has not written."""
+    out = scratch_folder(spark, "known")
+    for source in ("ERP_C", "ERP_B"):
+        folders = (f"{out}/processed", f"{out}/rejected", f"{out}/known")
+        run_new_customers(spark, _csv(spark, sf_dir, source), *folders, source, provider_for(source))
+    return read_processed(spark, f"{out}/processed/run_id=ERP_B").select("customer_id", "tax_id", "country")
+
+
+def sources_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineage of one run over the files of all three sources: which source each customer comes from."""
+    out = scratch_folder(spark, "sources")
+    inputs = {s: _csv(spark, sf_dir, s) for s in PRIORITY}
+    run_sources(spark, inputs, f"{out}/processed", f"{out}/rejected", lineage_path=f"{out}/lineage")
+    return spark.read.parquet(f"{out}/lineage").select("customer_id", "source_system", "external_id", "survivor_system")
+
+
 QUERIES: dict[str, Query] = {
     "map_source_a": _map_source("ERP_A"),
     "map_source_b": _map_source("ERP_B"),
@@ -363,6 +404,10 @@ QUERIES: dict[str, Query] = {
     "scan_csv_multi_line": scan_csv_multi_line,
     "provider_prepare": provider_prepare,
     "rejected_malformed": rejected_malformed,
+    "survivors_by_source": survivors,
+    "lineage": lineage_rows,
+    "new_customers": new_customers,
+    "sources_run": sources_run,
 }
 
 

@@ -1,6 +1,7 @@
 from customer_canon.operators.classify import classify, process, processed, rejected
-from customer_canon.operators.dedup import any_per_customer, first_per_customer
+from customer_canon.operators.dedup import any_per_customer, first_by_source, first_per_customer
 from customer_canon.operators.identify import identify
+from customer_canon.operators.lineage import lineage
 from customer_canon.operators.mapping import carried_columns, map_columns, transform, with_provenance
 from customer_canon.operators.required import check_required_fields, required_source_fields
 
@@ -9,8 +10,10 @@ __all__ = [
     "carried_columns",
     "check_required_fields",
     "classify",
+    "first_by_source",
     "first_per_customer",
     "identify",
+    "lineage",
     "map_columns",
     "process",
     "processed",

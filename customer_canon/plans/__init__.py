@@ -1,3 +1,14 @@
+from customer_canon.plans.known import KnownCustomers, NewCustomersReport, run_new_customers
 from customer_canon.plans.run import RunReport, process_csv, run
+from customer_canon.plans.several import SourcesReport, run_sources
 
-__all__ = ["RunReport", "process_csv", "run"]
+__all__ = [
+    "KnownCustomers",
+    "NewCustomersReport",
+    "RunReport",
+    "SourcesReport",
+    "process_csv",
+    "run",
+    "run_new_customers",
+    "run_sources",
+]

@@ -1,0 +1,140 @@
+"""Customers across runs, several sources in one run, lineage."""
+
+from pathlib import Path
+
+import pytest
+
+from checks.extracts import extract
+from customer_canon import process, provider_for
+from customer_canon.operators import first_by_source, lineage
+from customer_canon.plans import run_new_customers, run_sources
+from customer_canon.plans.known import KnownCustomers
+from customer_canon.sinks import canonical_projection
+
+A, B = provider_for("ERP_A"), provider_for("ERP_B")
+A_HEADER, B_HEADER = "customer_id,name,tax_id,country,email\n", "client_code,legal_name,vat_number,country,contact_email\n"
+
+
+def put(path, text):
+    Path(path).mkdir(exist_ok=True)
+    (Path(path) / "part-0.csv").write_text(text, encoding="utf-8")
+
+
+def rows_of(spark, path):
+    return sorted(tuple(r) for r in spark.read.parquet(str(path)).select("name", "tax_id", "country").collect())
+
+
+def one(spark, tmp_path, run_id, **options):
+    at = [str(tmp_path / name) for name in ("in", "processed", "rejected", "known")]
+    return run_new_customers(spark, *at, run_id, B, **options)
+
+
+FIRST = B_HEADER + "1,Ann,B00000001,Spain,\n2,Bob,FR1,France,\n3,Bad,,Spain,\n4,Ann again,b-00000001,ES,\n"
+
+
+def test_second_run_writes_no_customer_twice(spark, tmp_path):
+    put(tmp_path / "in", FIRST)
+    assert one(spark, tmp_path, "r1").new_count == 2
+    assert rows_of(spark, tmp_path / "processed/run_id=r1") == [("Ann", "B00000001", "ES"), ("Bob", "1", "FR")]
+    again = one(spark, tmp_path, "r2")
+    assert (again.new_count, again.run.unique_count, again.run.rejected_count) == (0, 2, 1)
+    put(tmp_path / "in", FIRST + "5,Eve,DE9,Germany,\n")
+    assert one(spark, tmp_path, "r3").new_count == 1
+    assert rows_of(spark, tmp_path / "processed/run_id=r3") == [("Eve", "9", "DE")]
+    assert len(rows_of(spark, tmp_path / "processed")) == 3
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["in", "known", "processed", "rejected"]
+
+
+def test_repeated_run_replaces_its_own_output(spark, tmp_path):
+    put(tmp_path / "in", FIRST)
+    one(spark, tmp_path, "r1")
+    assert one(spark, tmp_path, "r1").new_count == 2
+    assert len(rows_of(spark, tmp_path / "processed")) == 2
+    assert KnownCustomers(str(tmp_path / "known")).read(spark).count() == 2
+
+
+def test_run_that_broke_off_before_its_ids_were_stored(spark, tmp_path, monkeypatch):
+    put(tmp_path / "in", FIRST)
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="lost"):
+        patch.setattr(KnownCustomers, "add", broken)
+        one(spark, tmp_path, "r1")
+    assert one(spark, tmp_path, "r1").new_count == 2
+    assert one(spark, tmp_path, "r2").new_count == 0
+    assert len(rows_of(spark, tmp_path / "processed")) == 2
+
+
+def test_layout_and_missing_column(spark, tmp_path):
+    put(tmp_path / "in", FIRST)
+    one(spark, tmp_path, "r1", processed_layout=canonical_projection, rows_per_file=1)
+    assert spark.read.parquet(str(tmp_path / "processed/run_id=r1")).columns == ["customer_id", "name", "tax_id", "country", "email"]
+    put(tmp_path / "in", "client_code\n1\n")
+    failed = one(spark, tmp_path, "r2")
+    assert (failed.run.status, failed.new_count) == ("FAILED", None)
+    assert not (tmp_path / "processed/run_id=r2").exists()
+
+
+def test_only_partitions_of_own_ids_are_read(spark, tmp_path):
+    known = KnownCustomers(str(tmp_path / "known"))
+    ids = spark.createDataFrame([(f"{i:02x}-id",) for i in range(40)], "customer_id string")
+    known.add(ids, "r1")
+    some = ids.where("customer_id < '03'")
+    unknown = known.unknown(some, "r2")
+    plan = unknown._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "prefix" in plan
+    assert unknown.count() == 0 and known.unknown(some, "r1").count() == 3
+
+
+SOURCES = {
+    "ERP_A": A_HEADER + "a1,Ann A,B00000001,Spain,\na2,Only A,DE5,Germany,\na3,,,Spain,\n",
+    "ERP_B": B_HEADER + "b1,Ann B,B00000001,ES,b@x\nb2,Ann B2,B00000001,ES,\nb3,Only B,FR7,France,\n",
+}
+
+
+def several(spark, tmp_path, **options):
+    for source, text in SOURCES.items():
+        put(tmp_path / source, text)
+    inputs = {source: str(tmp_path / source) for source in SOURCES}
+    return run_sources(
+        spark, inputs, str(tmp_path / "p"), str(tmp_path / "r"), lineage_path=str(tmp_path / "l"), **options
+    )
+
+
+@pytest.mark.parametrize(("priority", "winner"), [(None, ("ERP_A", "Ann A")), (["ERP_B", "ERP_A"], ("ERP_B", "Ann B"))])
+def test_sources_by_priority(spark, tmp_path, priority, winner):
+    report = several(spark, tmp_path, priority=priority)
+    assert (report.status, report.unique_count, report.lineage_count) == ("COMPLETED", 3, 5)
+    assert {s: c["rejected_count"] for s, c in report.counts.items()} == {"ERP_A": 1, "ERP_B": 0}
+    rows = {r.tax_id: (r.source_system, r.name) for r in spark.read.parquet(str(tmp_path / "p")).collect()}
+    assert rows == {"B00000001": winner, "5": ("ERP_A", "Only A"), "7": ("ERP_B", "Only B")}
+    traced = {(r.source_system, r.external_id): (r.survivor_system, r.survivor_id) for r in spark.read.parquet(str(tmp_path / "l")).collect()}
+    first = (winner[0], "a1" if winner[0] == "ERP_A" else "b1")
+    want = {("ERP_A", "a1"): first, ("ERP_B", "b1"): first, ("ERP_B", "b2"): first}
+    assert traced == want | {("ERP_A", "a2"): ("ERP_A", "a2"), ("ERP_B", "b3"): ("ERP_B", "b3")}
+    assert (tmp_path / "r/source_system=ERP_A").exists()
+
+
+def test_no_output_where_a_source_lacks_a_column(spark, tmp_path):
+    SOURCES_BROKEN = SOURCES | {"ERP_B": "client_code\n1\n"}
+    for source, text in SOURCES_BROKEN.items():
+        put(tmp_path / source, text)
+    report = run_sources(spark, {s: str(tmp_path / s) for s in SOURCES}, str(tmp_path / "p"), str(tmp_path / "r"))
+    assert report.status == "FAILED" and not (tmp_path / "p").exists() and not (tmp_path / "r").exists()
+    with pytest.raises(ValueError, match="priority"):
+        run_sources(spark, {"ERP_A": str(tmp_path / "ERP_A")}, str(tmp_path / "p"), str(tmp_path / "r"), priority=["ERP_C"])
+    with pytest.raises(ValueError, match="no sources"):
+        run_sources(spark, {}, str(tmp_path / "p"), str(tmp_path / "r"))
+
+
+def test_lineage_holds_every_accepted_row_and_no_names(spark, sf_dir, capsys):
+    from pyspark.sql import functions as F
+
+    accepted = process(extract(spark, sf_dir, "ERP_B"), B)[0].withColumn("source_system", F.lit("ERP_B"))
+    traced = lineage(accepted)
+    assert traced.count() == accepted.count()
+    assert traced.where("survivor_id IS NULL").count() == 0
+    kept = first_by_source(accepted, ["ERP_B"])
+    assert traced.select("customer_id").distinct().count() == kept.count()
