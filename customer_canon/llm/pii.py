@@ -8,7 +8,9 @@ enough are spans of that kind as well. Every step is an aggregate or a join of t
 frequent pattern or a frequent string is one row wherever it is joined to.
 
 Positions come from splitting a text by a pattern: the lengths of the pieces and of the matches between them add
-up to where each match starts, in code points. The regular expressions are written so that no text makes
+up to where each match starts, in code points. That and the search for overlaps go by blocks of matches, so that a text of n
+matches costs about n times their square root. The words of a context are looked for in the 60 characters before it. The
+regular expressions are written so that no text makes
 them slow: a run of characters is entered at its start only (or where the last match ended) and never given back.
 
 Nulls: a null text is empty and has no spans; a null id is an id. Repeated rows each get their spans, and count as
@@ -61,12 +63,29 @@ def _is_valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _blocks(items: Column) -> Column:
+    """The array cut into arrays, about four times as many as each has elements: growing an array copies it."""
+
+    def cut_up(items: Column) -> Column:
+        size = F.greatest(F.lit(32), (F.sqrt(F.size(items)) / 4).cast("int"))
+        last = F.floor((F.size(items) - 1) / size).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * size + 1, size))
+        return F.when(F.size(items) > 0, blocks).otherwise(F.array())
+
+    return _once(items, cut_up)
+
+
 def _matches(text: Column, pattern: str) -> Column:
-    """Array of ``start, end, value, before`` of all matches; ``before`` is the end of the text before it."""
+    """Array of ``start, end, value, before`` of all matches; ``before`` is the end of the text before it.
+
+    Places are counted within blocks of matches first, then the blocks are put one after the other.
+    """
     pieces = F.arrays_zip(
         F.split(text, pattern, -1).alias("piece"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("value")
     )
     none = F.expr("cast(array() as array<struct<start: int, end: int, value: string, before: string>>)")
+    begun = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("found"))
+    ahead = F.expr("cast(array() as array<struct<at: int, tail: string>>)")
 
     def placed(so_far: Column, part: Column) -> Column:
         start = so_far["at"] + F.length(part["piece"])
@@ -83,8 +102,33 @@ def _matches(text: Column, pattern: str) -> Column:
         tail = _tail(F.concat(before, value))
         return F.struct(end.alias("at"), tail.alias("tail"), found.alias("found"))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), none.alias("found"))
-    return F.aggregate(pieces, start, placed, lambda a: a["found"])
+    def begins(so_far: Column, block: Column) -> Column:
+        here = F.struct(so_far["at"].alias("at"), so_far["tail"].alias("tail"))
+        at, tail = so_far["at"] + block["at"], _tail(F.concat(so_far["tail"], block["tail"]))
+        return F.struct(at.alias("at"), tail.alias("tail"), F.concat(so_far["each"], F.array(here)).alias("each"))
+
+    def shifted(block: Column, here: Column) -> Column:
+        return F.transform(
+            block["found"],
+            lambda m: F.struct(
+                (m["start"] + here["at"]).alias("start"),
+                (m["end"] + here["at"]).alias("end"),
+                m["value"].alias("value"),
+                _tail(F.concat(here["tail"], m["before"])).alias("before"),
+            ),
+        )
+
+    def joined(blocks: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), ahead.alias("each"))
+        return F.flatten(F.zip_with(blocks, F.aggregate(blocks, start, begins, lambda a: a["each"]), shifted))
+
+    blocks = F.transform(_blocks(pieces), lambda block: F.aggregate(block, begun, placed))
+    return _once(blocks, joined)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often it is mentioned."""
+    return F.transform(F.array(value), use)[0]
 
 
 def _tail(text: Column) -> Column:
@@ -124,13 +168,30 @@ def base_spans(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select("*", *[_spans(text, kind).alias(f"pii_{kind}") for kind in KINDS])
     taken = F.concat(*[F.transform(f"pii_{kind}", lambda m: F.struct(m["start"], m["end"])) for kind in KINDS])
-    free = F.filter(
-        F.transform(_matches(text, CANDIDATE), _trimmed),
-        lambda c: (F.length(_digits(c["value"])) >= CANDIDATE_DIGITS)
-        & ~F.exists(taken, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])),
-    )
-    has = F.regexp_count(text, F.lit(f"(?:[0-9][^0-9]?){{{CANDIDATE_DIGITS}}}")) > 0
-    return found.withColumn("pii_candidates", F.when(has, free).otherwise(F.array()))
+
+    def extent(block: Column) -> Column:
+        return F.struct(
+            F.array_min(F.transform(block, lambda s: s["start"])).alias("start"),
+            F.array_max(F.transform(block, lambda s: s["end"])).alias("end"),
+            block.alias("spans"),
+        )
+
+    def apart(c: Column, blocks: Column) -> Column:
+        def meets(s: Column) -> Column:
+            return (s["start"] < c["end"]) & (c["start"] < s["end"])
+
+        return ~F.exists(blocks, lambda block: meets(block) & F.exists(block["spans"], meets))
+
+    def free(blocks: Column) -> Column:
+        return F.filter(
+            F.transform(_matches(text, CANDIDATE), _trimmed),
+            lambda c: (F.length(_digits(c["value"])) >= CANDIDATE_DIGITS) & apart(c, blocks),
+        )
+
+    # implied by any candidate: it holds that many digits itself
+    has = F.regexp_count(text, F.lit("[0-9]")) >= CANDIDATE_DIGITS
+    blocks = _once(F.array_sort(taken), lambda spans: F.transform(_blocks(spans), extent))
+    return found.withColumn("pii_candidates", F.when(has, _once(blocks, free)).otherwise(F.array()))
 
 
 def _mentions(found: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -124,3 +125,23 @@ def test_digest(spark, make_docs):
 def test_empty_table(make_docs):
     assert pii.find_personal_data(make_docs([])).collect() == []
     assert pii.redacted(make_docs([])).collect() == []
+
+
+def test_texts_with_very_many_matches(make_docs):
+    numbers = " w ".join(str(1000 + i) for i in range(100_000))
+    emails = " and ".join(f"user{i}@mail.example.org" for i in range(20_000))
+    docs = make_docs([(1, numbers), (2, emails)])
+    begun = time.time()
+    found = pii.base_spans(docs).select("doc_id", "pii_email", F.size("pii_candidates").alias("candidates"))
+    rows = {r.doc_id: r for r in found.collect()}
+    assert time.time() - begun < 60
+    assert rows[1].candidates == 100_000 and rows[2].candidates == 0
+    assert [(m.start, m.end) for m in rows[2].pii_email] == [m.span() for m in re.finditer(r"\S+@\S+", emails)]
+
+
+def test_a_span_does_not_depend_on_digits_elsewhere(make_docs):
+    seeds = [(i, f"reach the desk at +1 (456) 555-2{100 + i}") for i in range(12)]
+    split = "reach the desk at 06 (12) 34"
+    docs = make_docs([*seeds, (50, split), (51, split + " and 1234 other words")])
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find_personal_data(docs).collect()}
+    assert found[50] == found[51] == [("phone", 18, len(split))]
