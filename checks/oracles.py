@@ -238,4 +238,25 @@ ORACLES: dict[str, str] = {
     "sources_run": f"""{_RANKED}
       SELECT b.customer_id, b.source_system, b.external_id, s.source_system AS survivor_system
       FROM best b JOIN best s ON s.customer_id = b.customer_id AND s.place = 1""",
+    "merged_fields": f"""{_RANKED}
+      SELECT arg_min(external_id, place) AS external_id, arg_min(source_system, place) AS source_system, tax_id, country,
+        arg_min(name, place) AS name, arg_min(external_id, place) FILTER (name IS NOT NULL) AS name_from,
+        arg_min(source_system, place) FILTER (name IS NOT NULL) AS name_source,
+        arg_min(email, place) AS email, arg_min(external_id, place) FILTER (email IS NOT NULL) AS email_from,
+        arg_min(source_system, place) FILTER (email IS NOT NULL) AS email_source
+      FROM best GROUP BY tax_id, country""",
+    "change_set": f"""{_STRICT_ALL},
+      accepted AS (SELECT {_CANONICAL}, customer_id, source_system FROM identified WHERE is_valid AND source_system <> 'ERP_B'),
+      old AS (
+        SELECT * FROM accepted WHERE source_system = 'ERP_A'
+        QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY external_id, name NULLS FIRST, email NULLS FIRST) = 1),
+      young AS (
+        SELECT * FROM accepted WHERE source_system = 'ERP_C' OR email IS NOT NULL
+        QUALIFY row_number() OVER (
+          PARTITION BY customer_id ORDER BY source_system DESC, external_id, name NULLS FIRST, email NULLS FIRST) = 1)
+      SELECT y.external_id, y.name, y.tax_id, y.country, y.email, coalesce(y.customer_id, o.customer_id) AS customer_id,
+        CASE WHEN o.customer_id IS NULL THEN 'new' WHEN y.customer_id IS NULL THEN 'gone' ELSE 'changed' END AS change
+      FROM old o FULL JOIN young y ON o.customer_id = y.customer_id
+      WHERE o.customer_id IS NULL OR y.customer_id IS NULL OR o.external_id IS DISTINCT FROM y.external_id
+        OR o.name IS DISTINCT FROM y.name OR o.email IS DISTINCT FROM y.email""",
 }

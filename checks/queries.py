@@ -15,11 +15,14 @@ from customer_canon.functions import clean_tax_id, country_code, identity_key, t
 from customer_canon.operators import (
     any_per_customer,
     carried_columns,
+    change_set,
     classify,
     first_by_source,
+    first_per_customer,
     identify,
     lineage,
     map_columns,
+    merge_per_customer,
     process,
     required_source_fields,
     transform,
@@ -33,6 +36,7 @@ from customer_canon.rules import DF_PARITY, Rules
 from customer_canon.schema import (
     CANONICAL_FIELDS,
     CANONICAL_PROJECTION_FIELDS,
+    PROCESSED_FIELDS,
     REJECTED_FIELDS,
     raw_rejects_schema,
     rejected_schema,
@@ -370,6 +374,20 @@ def sources_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/lineage").select("customer_id", "source_system", "external_id", "survivor_system")
 
 
+def merged_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per customer over all three sources, its name and email from the first row that has them."""
+    return merge_per_customer(_accepted(spark, sf_dir), PRIORITY)
+
+
+def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the customers' extract to that of suppliers and of customers with an email."""
+    accepted = _accepted(spark, sf_dir)
+    customers = F.col("source_system") == "ERP_A"
+    later = accepted.where((F.col("source_system") == "ERP_C") | (customers & F.col("email").isNotNull()))
+    before, after = first_per_customer(accepted.where(customers)), first_by_source(later, PRIORITY)
+    return change_set(*[identify(rows).select(*PROCESSED_FIELDS) for rows in (before, after)])
+
+
 QUERIES: dict[str, Query] = {
     "map_source_a": _map_source("ERP_A"),
     "map_source_b": _map_source("ERP_B"),
@@ -408,6 +426,8 @@ QUERIES: dict[str, Query] = {
     "lineage": lineage_rows,
     "new_customers": new_customers,
     "sources_run": sources_run,
+    "merged_fields": merged_fields,
+    "change_set": changes,
 }
 
 

@@ -36,6 +36,12 @@ def first_per_customer(canonical: DataFrame, order_by: Sequence[Column | str] |
     return canonical.withColumn(_RANK, F.row_number().over(by_customer)).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
+def source_rank(priority: Sequence[str]) -> Column:
+    """Place of ``source_system`` in ``priority``; those not named share the place behind the last."""
+    named = F.array_position(F.array(*[F.lit(source) for source in priority]), F.col("source_system"))
+    return F.when(named > 0, named).otherwise(len(priority) + 1)
+
+
 def first_by_source(
     canonical: DataFrame, priority: Sequence[str], order_by: Sequence[Column | str] | None = None
 ) -> DataFrame:
@@ -44,10 +50,8 @@ def first_by_source(
     Sources are told by ``source_system``; those not named come last, in the order of their names. Within a source
     the order is ``order_by``, by default the input order. It is the same single pruned window.
     """
-    named = F.array_position(F.array(*[F.lit(source) for source in priority]), F.col("source_system"))
-    rank = F.when(named > 0, named).otherwise(len(priority) + 1)
     order = list(order_by) if order_by is not None else input_order(canonical)
-    return first_per_customer(canonical, [rank, F.col("source_system"), *order])
+    return first_per_customer(canonical, [source_rank(priority), F.col("source_system"), *order])
 
 
 def any_per_customer(identified: DataFrame) -> DataFrame:
