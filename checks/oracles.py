@@ -248,7 +248,7 @@ ORACLES: dict[str, str] = {
     "change_set": f"""{_STRICT_ALL},
       accepted AS (SELECT {_CANONICAL}, customer_id, source_system FROM identified WHERE is_valid AND source_system <> 'ERP_B'),
       old AS (
-        SELECT * FROM accepted WHERE source_system = 'ERP_A'
+        SELECT * FROM accepted WHERE source_system = 'ERP_A' AND name NOT LIKE '%7'
         QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY external_id, name NULLS FIRST, email NULLS FIRST) = 1),
       young AS (
         SELECT * FROM accepted WHERE source_system = 'ERP_C' OR email IS NOT NULL
@@ -259,4 +259,11 @@ ORACLES: dict[str, str] = {
       FROM old o FULL JOIN young y ON o.customer_id = y.customer_id
       WHERE o.customer_id IS NULL OR y.customer_id IS NULL OR o.external_id IS DISTINCT FROM y.external_id
         OR o.name IS DISTINCT FROM y.name OR o.email IS DISTINCT FROM y.email""",
+    "published_run": f"""{_strict(_EXTRACTS["ERP_B"])}
+      SELECT {_CANONICAL}, customer_id, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS reason_detail, 2 AS version
+      FROM ranked WHERE place_from_last = 1
+      UNION ALL
+      SELECT {_CANONICAL}, NULL, {_REASON}, {_DETAIL}, 2 FROM judged WHERE NOT is_valid""",
+    "arriving_files": f"""{_strict(_EXTRACTS["ERP_B"])}
+      SELECT DISTINCT customer_id, tax_id, country FROM identified WHERE is_valid""",
 }

@@ -28,8 +28,10 @@ from customer_canon.operators import (
     transform,
     with_provenance,
 )
+from customer_canon.plans.arriving import run_arriving
 from customer_canon.plans.job import JobArgs, run_job
 from customer_canon.plans.known import run_new_customers
+from customer_canon.plans.published import latest, run_published
 from customer_canon.plans.run import process_csv, run, unique_customers
 from customer_canon.plans.several import run_sources
 from customer_canon.rules import DF_PARITY, Rules
@@ -380,14 +382,38 @@ def merged_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From the customers' extract to that of suppliers and of customers with an email."""
+    """From customers without those named "..7" to suppliers and customers with an email."""
     accepted = _accepted(spark, sf_dir)
     customers = F.col("source_system") == "ERP_A"
     later = accepted.where((F.col("source_system") == "ERP_C") | (customers & F.col("email").isNotNull()))
-    before, after = first_per_customer(accepted.where(customers)), first_by_source(later, PRIORITY)
+    earlier = accepted.where(customers & ~F.col("name").endswith("7"))
+    before, after = first_per_customer(earlier), first_by_source(later, PRIORITY)
     return change_set(*[identify(rows).select(*PROCESSED_FIELDS) for rows in (before, after)])
 
 
+def published_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both outputs of the latest of two published runs, the second of them asked for twice."""
+    root = scratch_folder(spark, "published")
+    for source in ("ERP_C", "ERP_B", "ERP_B"):
+        run_published(spark, _csv(spark, sf_dir, source, in_order=True), root, source, provider_for(source))
+    version = latest(spark, root)
+    columns = tuple(provider_for(version.run_id).mapping.values())
+    rejects = read_rejected(spark, version.rejected_path, rejected_schema(columns)).select(*REJECTED_FIELDS)
+    rows = read_processed(spark, version.processed_path).unionByName(rejects, allowMissingColumns=True)
+    return rows.withColumn("version", F.lit(version.number))
+
+
+def arriving_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of the files of one extract, taken as a stream of two files at a time, and again from the start."""
+    out = scratch_folder(spark, "arriving")
+    folders = [f"{out}/{name}" for name in ("processed", "rejected", "known")]
+    for _ in range(2):
+        run_arriving(
+            spark, _csv(spark, sf_dir, "ERP_B"), *folders, f"{out}/progress", provider_for("ERP_B"), files_per_batch=2
+        ).awaitTermination()
+    return read_processed(spark, folders[0]).select("customer_id", "tax_id", "country")
+
+
 QUERIES: dict[str, Query] = {
     "map_source_a": _map_source("ERP_A"),
     "map_source_b": _map_source("ERP_B"),
@@ -428,6 +454,8 @@ QUERIES: dict[str, Query] = {
     "sources_run": sources_run,
     "merged_fields": merged_fields,
     "change_set": changes,
+    "published_run": published_run,
+    "arriving_files": arriving_files,
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from customer_canon.plans.paths import check_apart
 from customer_canon.plans.run import COMPLETED, RunReport, run
+from customer_canon.plans.store import delete, exists
 from customer_canon.schema import PROCESSED_FIELDS
 from customer_canon.sinks.files import check_rows_per_file, write_processed
 from customer_canon.sources.providers import Provider
@@ -33,13 +34,9 @@ class KnownCustomers:
 
     path: str
 
-    def _exists(self, spark: SparkSession) -> bool:
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
     def read(self, spark: SparkSession) -> DataFrame:
         """``customer_id, run_id, prefix``; no rows before the first run."""
-        if not self._exists(spark):
+        if not exists(spark, self.path):
             return spark.createDataFrame([], _STORED)
         return spark.read.schema(_STORED).parquet(self.path)
 
@@ -72,7 +69,7 @@ class NewCustomersReport:
 
 def run_new_customers(
     spark: SparkSession,
-    input_path: str,
+    input_path: str | list[str],
     processed_path: str,
     rejected_path: str,
     known_path: str,
@@ -113,5 +110,4 @@ def run_new_customers(
         return NewCustomersReport(report, new_count)
     finally:
         for path in (staged, f"{staged}-ids"):
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            delete(spark, path)

@@ -107,7 +107,7 @@ def _write_unique(
 
 def run(
     spark: SparkSession,
-    input_path: str,
+    input_path: str | list[str],
     processed_path: str,
     rejected_path: str,
     provider: Provider,
@@ -152,7 +152,8 @@ def run(
 
     def report(status: str, **details: object) -> RunReport:
         finished_at = None if status == RUNNING else datetime.now(UTC)
-        done = RunReport(provider.source_system, input_path, status, started_at, finished_at, **details)
+        source = input_path if isinstance(input_path, str) else ",".join(input_path)
+        done = RunReport(provider.source_system, source, status, started_at, finished_at, **details)
         if ledger_path is not None:
             done.as_dataframe(spark).write.mode("append").json(ledger_path)
         return done
