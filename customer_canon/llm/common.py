@@ -30,7 +30,7 @@ def columns_of(names: list[str], **changed: Column) -> list[Column]:
 def checkpoint_folder(spark: SparkSession) -> str:
     """The folder of checkpoints: ``spark.checkpoint.dir``, which all executors share.
 
-    A local session without that setting gets a folder of its own; a cluster session must name one.
+    A local session without that setting gets a folder of its own, which goes when it ends; a cluster session must name one.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
@@ -39,6 +39,8 @@ def checkpoint_folder(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="corpus-checkpoints-")
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"file:{folder}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
@@ -104,6 +106,18 @@ def broadcast_if_small(frame: DataFrame, most: int = MOST_BROADCAST) -> DataFram
     return F.broadcast(frame) if frame.count() <= most else frame
 
 
+#: Copies of a row that are made at once.
+COPIES = 1 << 16
+
+
+def repeated(frame: DataFrame, copies: str) -> DataFrame:
+    """Every row as often as its column ``copies`` says, numbered by ``copy`` from 0; never more than ``COPIES`` in memory."""
+    count, before = F.col(copies).cast("long"), F.col("run") * COPIES
+    runs = frame.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((count - 1) / COPIES))))
+    last = F.least(before + (COPIES - 1), count - 1)
+    return runs.withColumn("copy", F.explode(F.sequence(before, last))).drop("run")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lowered, other letters in any fixed case.
 

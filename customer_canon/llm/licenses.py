@@ -16,13 +16,14 @@ as they came in. An empty table gives an empty result. Other columns are ignored
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import ascii_lower
+from customer_canon.llm.common import ascii_lower, broadcast_if_small, cut, repeated
+
+Templates = Sequence[tuple[str, str]] | DataFrame
 
 #: Characters that end a word once A-Z are lowered.
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -74,32 +75,41 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, NOT_WORD), "")
 
 
-def _templates(spark: SparkSession, phrases: Sequence, passages: Sequence) -> DataFrame:
-    """``tag, t_place, t_first, t_second, exact, label, pairs``: the pairs of all templates, and the answer to the row's own."""
-    rows = ["(xxhash64('', ''), -1, -1, '', '', true, cast(null as string), 1)"]
-    number = 0
+def _templates(spark: SparkSession, phrases: Templates, passages: Templates) -> DataFrame:
+    """``tag, template, t_place, t_first, t_second, exact, label, pairs``: the pairs of all templates, and the answer to the row's own."""
+    given = None
     for exact, templates in ((True, phrases), (False, passages)):
-        for label, text in templates:
-            words = re.findall("[0-9a-z\u0080-\U0010ffff]+", text)
-            if len(words) < PAIR:
-                raise ValueError(f"A template needs {PAIR} words: {text!r}")
-            for place, (first, second) in enumerate(zip(words, words[1:])):
-                rows.append(
-                    f"(xxhash64('{first}', '{second}'), {number}, {place}, '{first}', '{second}',"
-                    f" {str(exact).lower()}, '{label}', {len(words) - 1})"
-                )
-            number += 1
-    return spark.sql(
-        "SELECT * FROM VALUES " + ", ".join(rows) + " AS t(tag, template, t_place, t_first, t_second, exact, label, pairs)"
-    )
+        if not isinstance(templates, DataFrame):
+            templates = spark.createDataFrame([tuple(t) for t in templates], "label string, text string")
+        rows = templates.select(F.lit(exact).alias("exact"), "label", "text")
+        given = rows if given is None else given.unionByName(rows)
+    words = words_of(F.col("text"))
+    # a written table: the number of a template is the same wherever it is read again
+    numbered = cut(given.select("exact", "label", words.alias("words")).withColumn("template", F.monotonically_increasing_id()))
+    if short := numbered.where(F.size("words") < PAIR).limit(1).collect():
+        raise ValueError(f"A template needs {PAIR} words: {short[0].label!r}, {' '.join(short[0].words)!r}")
+    following = F.slice("words", 2, 2147483647)
+    pairs = numbered.select(
+        "template", "exact", "label", (F.size("words") - 1).cast("long").alias("pairs"),
+        F.posexplode(F.arrays_zip(F.col("words").alias("first"), following.alias("second"))).alias("t_place", "pair"),
+    ).where(F.col("t_place") < F.col("pairs"))
+    own = spark.range(1).select(
+        F.lit(-1).cast("long").alias("template"), F.lit(True).alias("exact"), F.lit(None).cast("string").alias("label"),
+        F.lit(1).cast("long").alias("pairs"), F.lit(-1).alias("t_place"),
+        F.struct(F.lit("").alias("first"), F.lit("").alias("second")).alias("pair"),
+    )
+    return pairs.unionByName(own).select(
+        F.xxhash64("pair.first", "pair.second").alias("tag"), "template", "t_place",
+        F.col("pair.first").alias("t_first"), F.col("pair.second").alias("t_second"), "exact", "label", "pairs",
+    )
 
 
 def scan_licenses(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    phrases: Sequence[tuple[str, str]] = PHRASES,
-    passages: Sequence[tuple[str, str]] = PASSAGES,
+    phrases: Templates = PHRASES,
+    passages: Templates = PASSAGES,
     neighbours: int = 3,
     share: float = 0.7,
 ) -> DataFrame:
@@ -108,8 +118,12 @@ def scan_licenses(
     ``<id_col>, n_words, n_base, first_word, last_word, base_labels, labels, score, spans``. ``spans`` are
     ``label, start, words`` of every phrase and passage found. A passage counts with ``share`` of its word pairs;
     diagonals up to ``neighbours`` apart belong together if each alone has a third of the passage or three votes.
+
+    Phrases and passages are ``(label, text)``, as a list or as a DataFrame of these columns, e.g. of whole license texts.
+    Their word pairs are sent to every task up to ``MOST_BROADCAST`` of them; beyond, documents' pairs are shuffled to
+    them. A template of fewer than two words is a ValueError.
     """
-    templates = F.broadcast(_templates(docs.sparkSession, phrases, passages))  # a few hundred rows by construction
+    templates = broadcast_if_small(_templates(docs.sparkSession, phrases, passages))
     text = F.col(text_col)
     row = ["id", "hash_a", "hash_b", "n_words"]
     pairs = docs.select(
@@ -167,7 +181,7 @@ def scan_licenses(
     found = (F.col("template") >= 0) & (F.col("exact") | fits)
     base = found & F.col("exact")
     joined = lambda labels: F.array_join(F.array_sort(labels), ",")
-    return (
+    scanned = (
         spans.groupBy(*row, "copies")
         .agg(
             F.count(F.when(base, 1)).alias("n_base"),
@@ -187,16 +201,7 @@ def scan_licenses(
                 )
             ).alias("spans"),
         )
-        .select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        .select(
-            F.col("id").alias(id_col),
-            "n_words",
-            "n_base",
-            "first_word",
-            "last_word",
-            "base_labels",
-            "labels",
-            "score",
-            "spans",
-        )
+    )
+    return repeated(scanned, "copies").select(
+        F.col("id").alias(id_col), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "spans"
     )

@@ -1,9 +1,13 @@
 """License scan against a plain search for phrases, and planted passages."""
 
+import random
 import re
 from collections import Counter
 
-from customer_canon.llm import licenses
+import pytest
+
+from customer_canon.llm import common, licenses
+from customer_canon.llm.queries import QUERIES
 
 
 def plain(text):
@@ -56,3 +60,48 @@ def test_passages_with_a_changed_word_are_found(make_docs, text_of):
 
 def test_empty_table(make_docs):
     assert licenses.scan_licenses(make_docs([])).collect() == []
+
+
+def changed(words, rng, edits):
+    words = list(words)
+    for _ in range(edits):
+        at = rng.randrange(len(words))
+        words[at : at + 1] = rng.choice([[], ["other"], [words[at], "more"]])
+    return words
+
+
+def test_library_of_whole_texts(spark, make_docs, text_of, monkeypatch):
+    rng = random.Random(8)
+    library = [(f"owner's {i}", text_of(900 + i, 600)) for i in range(12)]
+    table = spark.createDataFrame(library, "label string, text string")
+    rows = [(i, f"{text_of(i)} {' '.join(changed(text.split(), rng, 30))} {text_of(50 + i)}") for i, (_, text) in enumerate(library)]
+    rows += [(100 + i, text_of(300 + i, 600)) for i in range(12)] + [(200, " ".join(library[0][1].split()[:200]))]
+    want = {i: label for i, (label, _) in enumerate(library)}
+    found = []
+    for most in (50_000, 10):  # sent to every task, or shuffled
+        monkeypatch.setattr(licenses.broadcast_if_small, "__defaults__", (most,))
+        for passages in (table, library):
+            got = licenses.scan_licenses(make_docs(rows), passages=passages, share=0.6).collect()
+            assert {r.doc_id: r.labels for r in got if r.labels} == want
+            found.append(Counter(map(str, got)))
+    assert all(f == found[0] for f in found)
+
+
+def test_template_of_one_word(make_docs):
+    with pytest.raises(ValueError, match="needs 2 words"):
+        licenses.scan_licenses(make_docs([(1, "x")]), phrases=[("a", "one")])
+
+
+def test_row_repeated_often(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(common, "COPIES", 7)
+    docs = spark.range(50).selectExpr("1L AS doc_id", "'the mit license' AS text")
+    got = licenses.scan_licenses(docs.unionByName(make_docs([(2, "x")]).select("doc_id", "text"))).collect()
+    assert Counter((r.doc_id, r.n_base) for r in got) == {(1, 1): 50, (2, 0): 1}
+
+
+def test_registered_query_equals_a_plain_search(spark, query_dir):
+    rows = spark.read.parquet(f"{query_dir}/documents.parquet").select("doc_id", "text").collect()
+    got = QUERIES["op3_licenses"](spark, query_dir).collect()
+    found = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in got)
+    assert found == Counter((r.doc_id, *plain(r.text)) for r in rows) and any(r.n_base for r in got)
+    assert all(set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in got)
