@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import Scratch, as_rows, broadcast_if_small, columns_of, cut
+from customer_canon.llm.common import Scratch, as_rows, broadcast_if_small, columns_of, cut, repeated
 from customer_canon.llm.components import components
 
 #: Shingles of a sketch and number of sketches. Texts of few shingles get smaller sketches, so that one edit leaves
@@ -358,10 +358,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, least: float = 0.8
 ) -> DataFrame:
-    """``key_a, key_b, least_id, component, component_id``: each distinct text that has shingles, by hashes of it.
+    """``key_a, key_b, least_id, component_id, stays``: each distinct text that has shingles, by hashes of it.
 
     ``least_id`` is the smallest id with that text, ``component_id`` the smallest one of all texts linked to it,
-    directly or not.
+    directly or not. Of these, one ``stays``: that with the smallest id; texts without ids come last.
     """
     with Scratch(docs.sparkSession) as scratch:
         return cut(_near_duplicates(_keyed(docs.select(id_col, text_col), id_col, text_col), words, least, scratch))
@@ -409,23 +409,43 @@ def _near_duplicates(keyed: DataFrame, words: int, least: float, scratch: Scratc
         of = components(links.unionByName(found))
     graph = classes.select("key_a", "key_b", "node").join(of, "node", "left")
     graph = graph.withColumn("component", F.coalesce("component", "node")).join(ids, ["key_a", "key_b"])
-    names = scratch.keep(graph.groupBy("component").agg(F.min("least_id").alias("component_id")))
+    winner = F.min(F.struct(F.col("least_id").isNull().alias("unnamed"), "least_id", "key_a", "key_b"))
+    names = scratch.keep(graph.groupBy("component").agg(winner.alias("first")))
     return graph.join(names, "component").select(
-        "key_a", "key_b", "least_id", "component", "component_id"
+        "key_a",
+        "key_b",
+        "least_id",
+        F.col("first.least_id").alias("component_id"),
+        ((F.col("first.key_a") == F.col("key_a")) & (F.col("first.key_b") == F.col("key_b"))).alias("stays"),
     )
 
 
 def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``<id_col>, component_id, kept`` for every document."""
-    found = near_duplicates(docs, id_col, text_col, **how)
+    """``<id_col>, component_id, kept`` for every document; ``kept`` are those that ``deduplicated`` keeps."""
+    found = near_duplicates(docs, id_col, text_col, **how).withColumn("found", F.lit(True))
     component = F.when(F.col("found").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
-    return (
+    rows = cut(
         _keyed(docs.select(id_col, text_col), id_col, text_col)
         .drop("text")
-        .join(found.drop("least_id", "component").withColumn("found", F.lit(True)), ["key_a", "key_b"], "left")
-        .select(F.col("id").alias(id_col), component.alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))
+        .join(found, ["key_a", "key_b"], "left")
+        .select(
+            "key_a",
+            "key_b",
+            "id",
+            component.alias("component_id"),
+            F.col("found").isNotNull().alias("found"),
+            (F.col("found").isNull() | (F.col("stays") & F.col("id").eqNullSafe(F.col("least_id")))).alias("kept"),
+        )
     )
+    out = [F.col("id").alias(id_col), "component_id", "kept"]
+    # rows that stay but stand there several times: all but one of each go
+    again = rows.where(F.col("found") & F.col("kept")).groupBy("key_a", "key_b", "id", "component_id").agg(F.count("*").alias("copies"))
+    again = broadcast_if_small(again.where("copies > 1"), MOST_GONE)
+    if again.isEmpty():
+        return rows.select(*out)
+    same = [rows[c].eqNullSafe(again[c]) for c in ("key_a", "key_b", "id")]
+    once = rows.join(again, same[0] & same[1] & same[2], "left_anti").select(*out)
+    return once.unionByName(repeated(again, "copies").withColumn("kept", F.col("copy") == 0).select(*out))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -434,8 +454,6 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Of a group it is the one with the smallest id; if that id stands on several equal rows, one of them.
     """
     found = near_duplicates(docs, id_col, text_col, **how)
-    winner = Window.partitionBy("component").orderBy(F.col("least_id").asc_nulls_last(), "key_a", "key_b")
-    found = cut(found.withColumn("stays", F.row_number().over(winner) == 1))
     rows = (
         _keyed(docs.select(id_col, text_col), id_col, text_col)
         .groupBy("key_a", "key_b", "id")

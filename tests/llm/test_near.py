@@ -1,12 +1,13 @@
 """Near-duplicate documents against all pairs, and their alignment against a plain one."""
 
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from customer_canon.llm import near
+from customer_canon.llm import common, near
+from customer_canon.llm.queries import QUERIES
 
 
 def shingles(text):
@@ -91,8 +92,39 @@ def test_components_equal_all_pairs(make_docs, text_of):
     docs = make_docs(rows).selectExpr("*", "1 AS node", "2 AS key_a", "'x' AS component", "3 AS bucket")
     got = near.duplicate_classes(docs).collect()
     assert Counter((r.doc_id, r.component_id) for r in got) == plain_components(rows)
+    # of every group one row is kept, also where its id repeats or is null; texts without shingles are all kept
+    texts = defaultdict(set)
+    for doc_id, text in rows:
+        texts[doc_id].add(text)
+    bare = {i for i, t in rows if not (t or "").split()}
+    groups, kept = Counter(), Counter()
     for r in got:
-        assert r.kept == (r.doc_id is not None and r.doc_id == r.component_id)
+        if r.doc_id in bare:
+            assert r.kept
+        else:
+            groups[r.component_id] += 1
+            kept[r.component_id] += r.kept
+            assert not r.kept or r.doc_id == r.component_id
+    named = {c for c in groups if c is not None and len(texts[c]) == 1}
+    assert all(kept[c] == 1 for c in named)
+    assert sum(r.kept for r in got) == near.deduplicated(docs).count()
+    assert Counter(r.doc_id for r in got if r.kept) == Counter(r.doc_id for r in near.deduplicated(docs).collect())
+
+
+def test_repeated_rows_keep_one(spark, make_docs, text_of, monkeypatch):
+    monkeypatch.setattr(common, "COPIES", 3)
+    rows = [(1, text_of(1))] * 8 + [(2, text_of(1)), (None, text_of(2)), (None, text_of(2)), (3, None), (3, None), (4, text_of(3))]
+    got = Counter(map(tuple, near.duplicate_classes(make_docs(rows)).collect()))
+    want = {(1, 1, True): 1, (1, 1, False): 7, (2, 1, False): 1, (None, None, True): 1, (None, None, False): 1}
+    assert got == Counter(want | {(3, 3, True): 2, (4, 4, True): 1})
+    assert sorted(str(r.doc_id) for r in near.deduplicated(make_docs(rows)).collect()) == ["1", "3", "3", "4", "None"]
+
+
+def test_registered_query_agrees_with_what_stays(spark, query_dir):
+    docs = spark.read.parquet(f"{query_dir}/documents.parquet")
+    got = QUERIES["op4_near_duplicates"](spark, query_dir).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in docs.select("doc_id").collect())
+    assert sorted(r.doc_id for r in got if r.kept) == sorted(r.doc_id for r in near.deduplicated(docs).select("doc_id").collect())
 
 
 def test_large_groups_are_linked_through_finer_buckets(make_docs, text_of, monkeypatch):
