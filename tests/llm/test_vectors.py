@@ -98,3 +98,26 @@ def test_components(spark, shape):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     nodes = {n for e in edges for n in e} if shape != "none" else set()
     assert {r.node for r in got} == nodes and len(got) == len(nodes) and {r.component for r in got} <= {0}
+
+
+def test_bounds_hold_and_spare_exact_computations():
+    """No pair at the threshold is ruled out, and few of the others are left."""
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    for length in (2, 24, 64, 100):
+        centres = rng.normal(size=(30, length))
+        units = vectors.unit_rows(np.repeat(centres, 10, axis=0) + rng.normal(size=(300, length)) * 0.12)
+        code, factor = vectors.codes_of(units, 3)
+        planes, low, step = vectors.planes_of(units, 3)
+        words = vectors.words_of(np.unpackbits(code, axis=1)[:, :length])
+        rows = pd.DataFrame({"tile": 1, "band": 0, "half": 0, "node": range(300), "length": length, "factor": factor, "low": low, "step": step})
+        rows = rows.assign(code=[c.tobytes() for c in words], planes=[p.tobytes() for p in planes], marks=[bytes(4)] * 300)
+        tiles = vectors.Tiles(rows, 0.98, 20)
+        kept = {(i, j) for first, second in tiles.pairs() for i, j in zip(first.tolist(), second.tolist())}
+        cosines = units @ units.T
+        linked = {(i, j) for i in range(300) for j in range(i + 1, 300) if cosines[i, j] >= 0.98}
+        assert linked <= kept
+        if length >= 64:
+            assert linked and len(kept) < 0.05 * 300 * 299 / 2
+            assert set(tiles.hopeful()["node"]) == {i for pair in kept for i in pair}
