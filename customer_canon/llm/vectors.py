@@ -41,6 +41,9 @@ BLOCK = 256
 DEVIATIONS = 5.0
 #: Planes of bits that hold the levels of a query.
 PLANES = 8
+#: Components of the vectors of a batch that goes to Python, and rows of it at most.
+BATCH_COMPONENTS = 1 << 21
+MOST_BATCH_ROWS = 10_000
 
 
 def rotation(length: int, turn: int, seed: int) -> np.ndarray:
@@ -232,7 +235,11 @@ def link_vectors(
         .withColumn("key_b", F.when(F.col("usable"), F.xxhash64(F.lit(1), "label", "vector")))
     )
     with Scratch(vectors.sparkSession) as scratch:
-        found = cut(_linked(keyed, least, miss, seed, scratch))
+        classes = scratch.keep(_classes(keyed))
+        count, longest = classes.agg(F.count("*"), F.max(F.size("vector"))).first()
+        rows = min(MOST_BATCH_ROWS, BATCH_COMPONENTS // (longest or 1) + 1)
+        with Scratch(vectors.sparkSession, rows) as batched:
+            found = cut(_linked(classes, count, least, miss, seed, batched))
     component = F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("id"))
     return keyed.join(found, ["key_a", "key_b"], "left").select(
         F.col("id").alias(id_col),
@@ -242,9 +249,9 @@ def link_vectors(
     )
 
 
-def _linked(keyed: DataFrame, least: float, miss: float, seed: int, scratch: Scratch) -> DataFrame:
-    """``key_a, key_b, n_links, component_id`` of each distinct usable vector."""
-    classes = scratch.keep(
+def _classes(keyed: DataFrame) -> DataFrame:
+    """``key_a, key_b, n, least_id, vector, kind, node``: a row per distinct usable vector."""
+    return (
         keyed.where("usable")
         .groupBy("key_a", "key_b")
         .agg(
@@ -255,7 +262,11 @@ def _linked(keyed: DataFrame, least: float, miss: float, seed: int, scratch: Scr
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
-    bits, bands = band_plan(classes.count(), least, miss)
+
+
+def _linked(classes: DataFrame, count: int, least: float, miss: float, seed: int, scratch: Scratch) -> DataFrame:
+    """``key_a, key_b, n_links, component_id`` of each of ``count`` classes."""
+    bits, bands = band_plan(count, least, miss)
 
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
