@@ -10,8 +10,11 @@ rest were copied from, if any. Small buckets are thereby compared completely. Wh
 still belong to several components, all of them are compared across components, in tiles: those apart from the
 largest component are dealt to blocks, and so are those of it, and every block of the former meets every block of the bucket
 in one tile. So every pair that shares a sketch is judged, unless it is linked already, and a large bucket is spread over
-many tasks. Within a tile, sizes and the numbers of common shingles rule out the pairs that cannot align well enough, a
-pair is judged in the first bucket that it shares, and only links that join components are sent on.
+many tasks. Tiles are formed twice. First each text comes with a profile, the numbers of its shingles by their last bits, some
+thirty times smaller than the sequence: bin by bin, the smaller numbers of two texts add up to no less than the shingles
+that they have in common, so sizes and profiles rule pairs out without loss. The rows that some pair is left of come again with
+their sequences. There the numbers of common shingles rule out more, a pair is judged in the first bucket that it shares,
+and only links that join components are sent on.
 
 A comparison aligns the two sequences within a band of diagonals: the longest common subsequence of labelled shingles.
 Texts are near copies if it holds ``least`` of all shingles of both. The band is as wide as that allows, so it
@@ -26,7 +29,7 @@ Other columns are ignored, or kept by ``deduplicated``.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -120,6 +123,35 @@ def order_sketches(shingles: np.ndarray, long_keys: np.ndarray, short_keys: np.n
     return np.concatenate(found).view(np.int64)
 
 
+def profile(shingles: np.ndarray) -> np.ndarray:
+    """How many shingles end in each pattern of some last bits, two to four a pattern on average; empty if a byte cannot tell."""
+    bins = 1 << max(4, (len(shingles) // 2).bit_length() - 1)
+    counts = np.bincount((shingles & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
+    return counts.astype(np.uint8) if counts.max() < 256 else np.empty(0, dtype=np.uint8)
+
+
+def _folded(counts: np.ndarray, bins: int) -> np.ndarray:
+    """Rows of counts by fewer of the last bits."""
+    return counts if counts.shape[1] == bins else counts.reshape(len(counts), -1, bins).sum(axis=1, dtype=np.uint32)
+
+
+def most_common(first: list[np.ndarray], second: list[np.ndarray], may: np.ndarray) -> np.ndarray:
+    """No less than the shingles that the texts of two profiles have in common, for the pairs that ``may`` marks."""
+    most = np.full(may.shape, np.inf)
+    bins = [np.array([len(x) for x in side], dtype=int) for side in (first, second)]
+    for one in np.unique(bins[0][bins[0] > 0]).tolist():
+        rows = np.flatnonzero(bins[0] == one)
+        for other in np.unique(bins[1][bins[1] > 0]).tolist():
+            columns = np.flatnonzero(bins[1] == other)
+            open_pairs = may[np.ix_(rows, columns)]
+            if open_pairs.any():
+                x = _folded(np.stack([first[i] for i in rows]), min(one, other))
+                y = _folded(np.stack([second[j] for j in columns]), min(one, other))
+                for row, counts, partners in zip(rows.tolist(), x, open_pairs):
+                    most[row, columns[partners]] = np.minimum(counts, y[partners]).sum(axis=1, dtype=np.int64)
+    return most
+
+
 def alignment(first: np.ndarray, second: np.ndarray, least: float) -> float:
     """Share of all labelled shingles of both that one alignment within the band holds; 0 if surely below ``least``."""
     if not len(first) or not len(second):
@@ -181,8 +213,8 @@ def _compared(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame
             ]
             yield batch.loc[near, ["a", "b"]]
 
-    first = sequences.toDF("a", "first")
-    second = sequences.toDF("b", "second")
+    first = sequences.select(F.col("node").alias("a"), F.col("sequence").alias("first"))
+    second = sequences.select(F.col("node").alias("b"), F.col("sequence").alias("second"))
     return pairs.join(first, "a").join(second, "b").mapInPandas(linked, "a long, b long")
 
 
@@ -225,6 +257,40 @@ def common_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarr
     return counts
 
 
+def _open_pairs(
+    bucket: int, half: np.ndarray, component: np.ndarray, size: np.ndarray, sketches: list, least: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows and columns of a tile's comparisons, and which of them size, component and earlier buckets leave open."""
+    first, second = np.flatnonzero(half != 2), np.flatnonzero(half != 1)
+    x, y = size[first][:, None], size[second][None, :]
+    may = (component[first][:, None] != component[second][None, :]) & (np.minimum(x, y) >= least * np.maximum(x, y))
+    if (half == 0).any():
+        may &= first[:, None] < second[None, :]
+    first, second, may = _narrowed(first, second, may)
+    below = [s[s < bucket] for s in sketches]
+    may &= common_counts([below[i] for i in first], [below[i] for i in second]) == 0
+    return _narrowed(first, second, may)
+
+
+def _narrowed(first: np.ndarray, second: np.ndarray, may: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    rows, columns = may.any(axis=1), may.any(axis=0)
+    return first[rows], second[columns], may[np.ix_(rows, columns)]
+
+
+def tile_rows(
+    bucket: int, half: np.ndarray, component: np.ndarray, size: np.ndarray, sketches: list, profiles: list, least: float
+) -> np.ndarray:
+    """Which rows of a tile may have a link to another component, by sizes and profiles."""
+    first, second, may = _open_pairs(bucket, half, component, size, sketches, least)
+    most = most_common([profiles[i] for i in first], [profiles[i] for i in second], may)
+    both = size[first][:, None] + size[second][None, :]
+    may &= most * (1 + least) >= least * both
+    first, second, _ = _narrowed(first, second, may)
+    rows = np.zeros(len(half), dtype=bool)
+    rows[first] = rows[second] = True
+    return rows
+
+
 def tile_links(
     bucket: int, half: np.ndarray, component: np.ndarray, sequences: list, sketches: list, least: float
 ) -> list[tuple[int, int]]:
@@ -233,21 +299,8 @@ def tile_links(
     Rows of halves 1 and 2 are compared with each other, in a tile of half 0 all rows. Pairs that share a sketch below
     ``bucket`` are left to that one.
     """
-    first, second = np.flatnonzero(half != 2), np.flatnonzero(half != 1)
     size = np.array([len(s) for s in sequences], dtype=float)
-
-    def narrowed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        rows, columns = may.any(axis=1), may.any(axis=0)
-        return first[rows], second[columns], may[np.ix_(rows, columns)]
-
-    x, y = size[first][:, None], size[second][None, :]
-    may = (component[first][:, None] != component[second][None, :]) & (np.minimum(x, y) >= least * np.maximum(x, y))
-    if (half == 0).any():
-        may &= first[:, None] < second[None, :]
-    first, second, may = narrowed()
-    below = [s[s < bucket] for s in sketches]
-    may &= common_counts([below[i] for i in first], [below[i] for i in second]) == 0
-    first, second, may = narrowed()
+    first, second, may = _open_pairs(bucket, half, component, size, sketches, least)
     common = common_counts([sequences[i] for i in first], [sequences[i] for i in second])
     may &= common >= least * (size[first][:, None] + size[second][None, :] - common)
 
@@ -317,32 +370,49 @@ def _tiles(members: DataFrame, hubs: DataFrame, of: DataFrame, scratch: Scratch)
     )
 
 
-def _tiled(tiles: DataFrame, classes: DataFrame, sequences: DataFrame, least: float) -> DataFrame:
-    """The links ``a, b`` between components that the tiles hold."""
-    names = ["bucket", "low", "high"]
+TILE = ["bucket", "low", "high"]
 
-    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _by_tile(rows: DataFrame, judged: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """What ``judged`` says of the rows of each tile."""
+
+    def in_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            open_tile = (rows[names] == rows[names].iloc[-1]).all(axis=1).to_numpy()
-            rest = rows[open_tile]
+            held = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            open_tile = (held[TILE] == held[TILE].iloc[-1]).all(axis=1).to_numpy()
+            rest = held[open_tile]
             if not open_tile.all():
-                yield judged(rows[~open_tile])
+                yield pd.concat([judged(tile) for _, tile in held[~open_tile].groupby(TILE, sort=False)])
         if rest is not None:
             yield judged(rest)
 
-    def judged(rows: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for (bucket, _, _), tile in rows.groupby(names, sort=False):
-            node = tile["node"].to_numpy()
-            whole = [np.frombuffer(s, dtype=np.uint64) for s in tile["sequence"]]
-            links = tile_links(bucket, tile["half"].to_numpy(), tile["component"].to_numpy(), whole, tile["sketches"].to_list(), least)
-            found += [(node[i], node[j]) for i, j in links]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(in_tiles, schema)
 
-    rows = tiles.join(classes.select("node", "sketches"), "node").join(sequences, "node")
-    return rows.repartition(*names).sortWithinPartitions(*names).mapInPandas(linked, "a long, b long")
+
+def _tiled(tiles: DataFrame, classes: DataFrame, sequences: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """The links ``a, b`` between components that the tiles hold."""
+
+    columns = tiles.columns
+
+    def hopeful(tile: pd.DataFrame) -> pd.DataFrame:
+        profiles = [np.frombuffer(p, dtype=np.uint8) for p in tile["profile"]]
+        half, component, size = (tile[c].to_numpy() for c in ("half", "component", "size"))
+        rows = tile_rows(tile["bucket"].iloc[0], half, component, size.astype(float), tile["sketches"].to_list(), profiles, least)
+        return tile.loc[rows, columns]
+
+    def linked(tile: pd.DataFrame) -> pd.DataFrame:
+        node = tile["node"].to_numpy()
+        whole = [np.frombuffer(s, dtype=np.uint64) for s in tile["sequence"]]
+        half, component = tile["half"].to_numpy(), tile["component"].to_numpy()
+        links = tile_links(tile["bucket"].iloc[0], half, component, whole, tile["sketches"].to_list(), least)
+        return pd.DataFrame([(node[i], node[j]) for i, j in links], columns=["a", "b"], dtype="int64")
+
+    sketched = classes.select("node", "size", "sketches")
+    profiled = tiles.join(sketched, "node").join(sequences.select("node", "profile"), "node")
+    left = scratch.keep(_by_tile(profiled, hopeful, tiles.schema))
+    whole = left.join(sketched.drop("size"), "node").join(sequences.select("node", "sequence"), "node")
+    return _by_tile(whole, linked, "a long, b long")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -396,15 +466,22 @@ def _near_duplicates(keyed: DataFrame, words: int, least: float, scratch: Scratc
     def sequenced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _WordHashes()
         for batch in batches:
-            whole = [labelled_shingles(t, words, hashes).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"node": batch["node"], "sequence": whole})
+            whole = [labelled_shingles(t, words, hashes) for t in batch["text"]]
+            yield pd.DataFrame(
+                {
+                    "node": batch["node"],
+                    "sequence": [s.tobytes() for s in whole],
+                    "profile": [profile(s).tobytes() for s in whole],
+                }
+            )
 
-    sequences = scratch.keep(texts.mapInPandas(sequenced, "node long, sequence binary").dropDuplicates(["node"]))
+    schema = "node long, sequence binary, profile binary"
+    sequences = scratch.keep(texts.mapInPandas(sequenced, schema).dropDuplicates(["node"]))
 
     hubs = scratch.keep(_hubs(members))
     links = scratch.keep(_compared(scratch.keep(_pairs(members, hubs, least)), sequences, least))
     of = components(links)
-    found = scratch.keep(_tiled(scratch.keep(_tiles(members, hubs, of, scratch)), classes, sequences, least))
+    found = scratch.keep(_tiled(scratch.keep(_tiles(members, hubs, of, scratch)), classes, sequences, least, scratch))
     if not found.isEmpty():
         of = components(links.unionByName(found))
     graph = classes.select("key_a", "key_b", "node").join(of, "node", "left")

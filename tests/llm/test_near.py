@@ -209,3 +209,27 @@ def test_long_text(make_docs, text_of):
     rng = random.Random(2)
     rows = [(1, text), (2, edited(text, rng, 300)), (3, text_of(6, 25_000))]
     assert {(r.doc_id, r.component_id) for r in near.duplicate_classes(make_docs(rows)).collect()} == {(1, 1), (2, 1), (3, 3)}
+
+
+def test_profiles_never_undercount(text_of):
+    rng = random.Random(6)
+    texts = [text_of(k % 4, rng.choice([3, 30, 90, 100, 400, 2000])) for k in range(40)] + ["same words " * 40]
+    whole = [shingles(edited(t, rng, rng.randrange(6))) for t in texts]
+    profiles = [near.profile(s) for s in whole]
+    may = np.ones((len(whole), len(whole)), dtype=bool)
+    most = near.most_common(profiles, profiles, may)
+    assert (most >= near.common_counts(whole, whole)).all() and (np.diag(most) == [len(s) for s in whole]).all()
+    crowded = near.profile(np.arange(300, dtype=np.uint64) << np.uint64(20))
+    assert len(crowded) == 0 and np.isinf(near.most_common([crowded], profiles, may[:1])).all()
+
+
+def test_shared_passage_leaves_few_rows(text_of):
+    """Texts that have a third of their words in common share a bucket, but their sequences are not asked for."""
+    passage = text_of(999, 60)
+    whole = [shingles(passage + " " + text_of(k, 120)) for k in range(100)]
+    whole.append(shingles(passage + " " + text_of(7, 120) + " more"))
+    none = [np.empty(0, dtype=np.int64)] * len(whole)
+    size = np.array([len(s) for s in whole], dtype=float)
+    rows = near.tile_rows(1, np.zeros(101), np.arange(101), size, none, [near.profile(s) for s in whole], 0.8)
+    assert rows[[7, 100]].all() and rows.sum() <= 10
+    assert near.tile_links(1, np.zeros(101), np.arange(101), whole, none, 0.8) == [(7, 100)]
