@@ -10,7 +10,10 @@ rest were copied from, if any. Small buckets are thereby compared completely. Wh
 still belong to several components, all of them are compared across components, in tiles: those apart from the
 largest component are dealt to blocks, and so are those of it, and every block of the former meets every block of the bucket
 in one tile. So every pair that shares a sketch is judged, unless it is linked already, and a large bucket is spread over
-many tasks. Tiles are formed twice. First each text comes with a profile, the numbers of its shingles by their last bits, some
+many tasks. Before that, texts leave a bucket that cannot be linked with any other member of it: shingles that no other text of the
+undecided buckets holds are counted out, and what is left is too few for a near copy even of the smallest member. A text
+with some edits of its own among thousands of copies goes in this way, without a comparison.
+Tiles are formed twice. First each text comes with a profile, the numbers of its shingles by their last bits, some
 thirty times smaller than the sequence: bin by bin, the smaller numbers of two texts add up to no less than the shingles
 that they have in common, so sizes and profiles rule pairs out without loss. The rows that some pair is left of come again with
 their sequences. There the numbers of common shingles rule out more, a pair is judged in the first bucket that it shares,
@@ -47,9 +50,13 @@ SHORT = (2, 12)
 LONG_FROM, SHORT_TO = 32, 40
 #: Members of a bucket that all others are compared with first.
 HUBS = 3
-#: Texts and shingles of a block, on average; a tile holds two blocks.
-BLOCK = 128
+#: Texts and shingles of a block, on average; a tile holds two blocks. Every text is sent once for each block that it meets.
+BLOCK = 1024
 BLOCK_SHINGLES = 1 << 19
+#: Texts of either side of a tile that are compared at once.
+COMPARED = 128
+#: Shingles that a task hands on at once.
+LISTED = 1 << 18
 #: Distinct values that are counted at once.
 COUNTED = 4096
 #: Rows that leave, of a few bytes each, that are sent to every executor; beyond, texts are shuffled once.
@@ -257,18 +264,33 @@ def common_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarr
     return counts
 
 
+def _sides(half: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and columns of a tile's comparisons, ``COMPARED`` of each at once."""
+    first, second = np.flatnonzero(half != 2), np.flatnonzero(half != 1)
+    for at in range(0, len(first), COMPARED):
+        # in a tile of half 0 both sides are all rows, and a pair stands where its smaller place is the row
+        for other in range(at if (half == 0).any() else 0, len(second), COMPARED):
+            yield first[at : at + COMPARED], second[other : other + COMPARED]
+
+
 def _open_pairs(
-    bucket: int, half: np.ndarray, component: np.ndarray, size: np.ndarray, sketches: list, least: float
+    bucket: int,
+    half: np.ndarray,
+    component: np.ndarray,
+    size: np.ndarray,
+    sketches: list,
+    least: float,
+    sides: tuple[np.ndarray, np.ndarray],
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows and columns of a tile's comparisons, and which of them size, component and earlier buckets leave open."""
-    first, second = np.flatnonzero(half != 2), np.flatnonzero(half != 1)
+    """Rows and columns of the comparisons of two sides, and which of them size, component and earlier buckets leave open."""
+    first, second = sides
     x, y = size[first][:, None], size[second][None, :]
     may = (component[first][:, None] != component[second][None, :]) & (np.minimum(x, y) >= least * np.maximum(x, y))
     if (half == 0).any():
         may &= first[:, None] < second[None, :]
     first, second, may = _narrowed(first, second, may)
-    below = [s[s < bucket] for s in sketches]
-    may &= common_counts([below[i] for i in first], [below[i] for i in second]) == 0
+    below = [[s[s < bucket] for s in (sketches[i] for i in side)] for side in (first, second)]
+    may &= common_counts(*below) == 0
     return _narrowed(first, second, may)
 
 
@@ -281,13 +303,14 @@ def tile_rows(
     bucket: int, half: np.ndarray, component: np.ndarray, size: np.ndarray, sketches: list, profiles: list, least: float
 ) -> np.ndarray:
     """Which rows of a tile may have a link to another component, by sizes and profiles."""
-    first, second, may = _open_pairs(bucket, half, component, size, sketches, least)
-    most = most_common([profiles[i] for i in first], [profiles[i] for i in second], may)
-    both = size[first][:, None] + size[second][None, :]
-    may &= most * (1 + least) >= least * both
-    first, second, _ = _narrowed(first, second, may)
     rows = np.zeros(len(half), dtype=bool)
-    rows[first] = rows[second] = True
+    for sides in _sides(half):
+        first, second, may = _open_pairs(bucket, half, component, size, sketches, least, sides)
+        most = most_common([profiles[i] for i in first], [profiles[i] for i in second], may)
+        both = size[first][:, None] + size[second][None, :]
+        may &= most * (1 + least) >= least * both
+        first, second, _ = _narrowed(first, second, may)
+        rows[first] = rows[second] = True
     return rows
 
 
@@ -300,10 +323,6 @@ def tile_links(
     ``bucket`` are left to that one.
     """
     size = np.array([len(s) for s in sequences], dtype=float)
-    first, second, may = _open_pairs(bucket, half, component, size, sketches, least)
-    common = common_counts([sequences[i] for i in first], [sequences[i] for i in second])
-    may &= common >= least * (size[first][:, None] + size[second][None, :] - common)
-
     root = {c: c for c in component.tolist()}
 
     def find(c: int) -> int:
@@ -312,18 +331,57 @@ def tile_links(
         return c
 
     links = []
-    for i, j in zip(*(side[places].tolist() for side, places in zip((first, second), np.nonzero(may)))):
-        one, other = find(component[i]), find(component[j])
-        if one != other and alignment(sequences[i], sequences[j], least) >= least:
-            root[one] = other
-            links.append((i, j))
+    for sides in _sides(half):
+        first, second, may = _open_pairs(bucket, half, component, size, sketches, least, sides)
+        common = common_counts([sequences[i] for i in first], [sequences[i] for i in second])
+        may &= common >= least * (size[first][:, None] + size[second][None, :] - common)
+        for i, j in zip(*(side[places].tolist() for side, places in zip((first, second), np.nonzero(may)))):
+            one, other = find(component[i]), find(component[j])
+            if one != other and alignment(sequences[i], sequences[j], least) >= least:
+                root[one] = other
+                links.append((i, j))
     return links
 
 
-def _tiles(members: DataFrame, hubs: DataFrame, of: DataFrame, scratch: Scratch) -> DataFrame:
+def _alone(sequences: DataFrame) -> DataFrame:
+    """``node, alone``: how many shingles of each ``node, sequence`` stand in no other one; nodes without such are left out."""
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            length = batch["sequence"].str.len() // 8
+            for _, some in batch.groupby(length.cumsum() // LISTED):
+                shingles = [np.frombuffer(s, dtype=np.int64) for s in some["sequence"]]
+                nodes = np.repeat(some["node"].to_numpy(), [len(s) for s in shingles])
+                yield pd.DataFrame({"node": nodes, "shingle": np.concatenate(shingles)})
+
+    # a text's shingles differ from each other, so rows are texts
+    shingles = sequences.mapInPandas(listed, "node long, shingle long")
+    once = shingles.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("texts")).where("texts = 1")
+    return once.groupBy("node").agg(F.count("*").alias("alone"))
+
+
+def _linkable(rest: DataFrame, sequences: DataFrame, least: float, scratch: Scratch) -> DataFrame:
+    """Of ``bucket, node, size, component`` the members that may be linked to another component of their bucket.
+
+    A member is left out if it has too few shingles in common with all other texts together to be a near copy of one
+    that has the size of the bucket's smallest member, or the smallest size that a near copy of it may have.
+    """
+    several = rest.groupBy("bucket").agg(
+        F.min("component").alias("lowest"), F.max("component").alias("highest"), F.min("size").alias("smallest")
+    )
+    undecided = scratch.keep(rest.join(several.where("lowest < highest").select("bucket", "smallest"), "bucket"))
+    alone = _alone(sequences.select("node", "sequence").join(undecided.select("node").distinct(), "node", "left_semi"))
+    held = F.col("size") - F.coalesce("alone", F.lit(0))
+    other = F.greatest(F.col("smallest"), F.lit(least) * F.col("size"))
+    # half a shingle less, so that no rounding rules out a pair
+    fewest = F.lit(least / (1 + least)) * (F.col("size") + other) - 0.5
+    return scratch.keep(undecided.join(alone, "node", "left").where(held >= fewest).select(rest.columns))
+
+
+def _tiles(members: DataFrame, hubs: DataFrame, of: DataFrame, sequences: DataFrame, least: float, scratch: Scratch) -> DataFrame:
     """``bucket, low, high, half, node, component`` of the tiles of all buckets that the hubs left undecided.
 
-    Those are the ones of which members other than hubs belong to several components. A bucket's tiles are named by the
+    Those are the ones of which members other than hubs belong to several components that may be linked. A bucket's tiles are named by the
     numbers of their blocks; the blocks of its largest component come last, and no two of them meet.
     """
     rest = (
@@ -332,7 +390,7 @@ def _tiles(members: DataFrame, hubs: DataFrame, of: DataFrame, scratch: Scratch)
         .join(of, "node", "left")
         .select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
     )
-    rest = scratch.keep(rest)
+    rest = _linkable(scratch.keep(rest), sequences, least, scratch)
     parts = rest.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
     most = F.max(F.struct("n", "shingles", "component"))
     mixed = parts.groupBy("bucket").agg(
@@ -408,11 +466,13 @@ def _tiled(tiles: DataFrame, classes: DataFrame, sequences: DataFrame, least: fl
         links = tile_links(tile["bucket"].iloc[0], half, component, whole, tile["sketches"].to_list(), least)
         return pd.DataFrame([(node[i], node[j]) for i, j in links], columns=["a", "b"], dtype="int64")
 
-    sketched = classes.select("node", "size", "sketches")
-    profiled = tiles.join(sketched, "node").join(sequences.select("node", "profile"), "node")
-    left = scratch.keep(_by_tile(profiled, hopeful, tiles.schema))
-    whole = left.join(sketched.drop("size"), "node").join(sequences.select("node", "sequence"), "node")
-    return _by_tile(whole, linked, "a long, b long")
+    def described(rows: DataFrame, *columns: str) -> DataFrame:
+        """The texts of some tiles, each joined together once and not for every tile."""
+        texts = classes.join(rows.select("node").distinct(), "node", "left_semi").join(sequences, "node")
+        return rows.join(texts.select("node", *columns), "node")
+
+    left = scratch.keep(_by_tile(described(tiles, "size", "sketches", "profile"), hopeful, tiles.schema))
+    return _by_tile(described(left, "sketches", "sequence"), linked, "a long, b long")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -481,7 +541,7 @@ def _near_duplicates(keyed: DataFrame, words: int, least: float, scratch: Scratc
     hubs = scratch.keep(_hubs(members))
     links = scratch.keep(_compared(scratch.keep(_pairs(members, hubs, least)), sequences, least))
     of = components(links)
-    found = scratch.keep(_tiled(scratch.keep(_tiles(members, hubs, of, scratch)), classes, sequences, least, scratch))
+    found = scratch.keep(_tiled(scratch.keep(_tiles(members, hubs, of, sequences, least, scratch)), classes, sequences, least, scratch))
     if not found.isEmpty():
         of = components(links.unionByName(found))
     graph = classes.select("key_a", "key_b", "node").join(of, "node", "left")

@@ -233,3 +233,46 @@ def test_shared_passage_leaves_few_rows(text_of):
     rows = near.tile_rows(1, np.zeros(101), np.arange(101), size, none, [near.profile(s) for s in whole], 0.8)
     assert rows[[7, 100]].all() and rows.sum() <= 10
     assert near.tile_links(1, np.zeros(101), np.arange(101), whole, none, 0.8) == [(7, 100)]
+
+
+def counted_tiles(monkeypatch):
+    rows, tiled = [], near._tiled
+
+    def counting(tiles, *rest):
+        rows.append(tiles.count())
+        return tiled(tiles, *rest)
+
+    monkeypatch.setattr(near, "_tiled", counting)
+    return rows
+
+
+def test_rows_of_tiles_do_not_grow_with_the_square_of_a_group(make_docs, text_of, monkeypatch):
+    """Copies with edits of their own share buckets, but no other text holds enough of their shingles."""
+    monkeypatch.setattr(near, "BLOCK", 16)
+    made = counted_tiles(monkeypatch)
+    own = copies(text_of(11, 104), 240, 5, 1)
+    shared = [(1000 + i, f"{text_of(12, 60)} {text_of(2000 + i, 40)}") for i in range(240)]
+    near_ones = [(5000, own[7][1] + " more"), (5001, shared[9][1] + " more")]
+    got = {r.doc_id: r.component_id for r in near.duplicate_classes(make_docs(own + shared + near_ones)).collect()}
+    assert got == {i: i for i, _ in own + shared} | {5000: 7, 5001: 1009}
+    assert made[0] <= 100
+
+
+@pytest.mark.parametrize(("block", "compared"), [(16, 3), (64, 16)])
+def test_sides_of_a_tile_in_parts_miss_no_pair(make_docs, text_of, monkeypatch, block, compared):
+    for name, value in {"HUBS": 0, "BLOCK": block, "COMPARED": compared, "LISTED": 500}.items():
+        monkeypatch.setattr(near, name, value, raising=False)
+    rng = random.Random(8)
+    rows = [(1000 * k + i, edited(text_of(40 + k, 50 + i % 20), rng, i % 5)) for k in range(2) for i in range(45)]
+    got = near.duplicate_classes(make_docs(rows)).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == plain_components(rows)
+
+
+def test_alone_counts_shingles_of_one_text(spark, text_of):
+    texts = [text_of(1, 60), edited(text_of(1, 60), random.Random(1), 3), text_of(2, 30), text_of(2, 30), "one two", ""]
+    whole = [shingles(t) for t in texts]
+    frame = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(whole)], "node long, sequence binary")
+    found = {r.node: r.alone for r in near._alone(frame.repartition(3)).collect()}
+    texts_of = Counter(x for s in whole for x in s.tolist())
+    want = {i: sum(texts_of[x] == 1 for x in s.tolist()) for i, s in enumerate(whole)}
+    assert found == {i: n for i, n in want.items() if n}
