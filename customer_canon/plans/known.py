@@ -15,8 +15,9 @@ from customer_canon.schema import PROCESSED_FIELDS
 from customer_canon.sinks.files import check_rows_per_file, write_processed
 from customer_canon.sources.providers import Provider
 
-#: First characters of an id that name its partition: 256 of them, whatever the number of customers.
-PREFIX_CHARS = 2
+#: First characters of an id that name its partition: 16 of them, whatever the number of customers. Every run adds files to
+#: each one. Spark lists up to 32 folders without a job; beyond, the names of all files go to the driver as results of tasks.
+PREFIX_CHARS = 1
 
 _STORED = "customer_id string, run_id string, prefix string"
 
@@ -46,7 +47,9 @@ class KnownCustomers:
         ``customers`` is read twice, first for the partitions that its ids fall into: give a written table.
         """
         prefixes = [r[0] for r in customers.select(_prefix()).distinct().collect()]
-        known = self.read(customers.sparkSession).where(F.col("prefix").isin(prefixes) & (F.col("run_id") != run_id))
+        # tables that were begun with longer prefixes are read, too
+        stored = F.substring("prefix", 1, PREFIX_CHARS)
+        known = self.read(customers.sparkSession).where(stored.isin(prefixes) & (F.col("run_id") != run_id))
         return customers.join(known.select("customer_id"), "customer_id", "left_anti").select(customers.columns)
 
     def add(self, customers: DataFrame, run_id: str) -> None:

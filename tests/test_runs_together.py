@@ -88,6 +88,32 @@ def test_only_partitions_of_own_ids_are_read(spark, tmp_path):
     assert unknown.count() == 0 and known.unknown(some, "r1").count() == 3
 
 
+def test_known_ids_are_found_without_a_job_that_lists_files(spark, tmp_path):
+    known = KnownCustomers(str(tmp_path / "known"))
+    ids = spark.createDataFrame([(f"{i:02x}-id",) for i in range(256)], "customer_id string")
+    for k in range(3):
+        known.add(ids.where(f"conv(substring(customer_id, 2, 1), 16, 10) % 3 = {k}"), f"r{k}")
+    spark.sparkContext.setJobGroup("listing", "reads the known table")
+    try:
+        stored = known.read(spark)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("listing")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert stored.select("customer_id").distinct().count() == stored.count() == 256
+    assert known.unknown(ids, "r9").count() == 0
+
+
+def test_table_with_longer_prefixes_goes_on(spark, tmp_path):
+    known = KnownCustomers(str(tmp_path / "known"))
+    ids = spark.createDataFrame([(f"{i:02x}-id",) for i in range(40)], "customer_id string")
+    old = ids.where("customer_id < '10'").selectExpr("customer_id", "'r1' AS run_id", "substring(customer_id, 1, 2) AS prefix")
+    old.write.partitionBy("prefix").parquet(known.path)
+    known.add(ids.where("customer_id < '14'"), "r2")
+    assert known.unknown(ids, "r3").count() == 20 and known.unknown(ids, "r2").count() == 24
+    known.add(ids.where("customer_id < '10'"), "r1")
+    assert known.read(spark).where("run_id = 'r1'").count() == 16
+
+
 SOURCES = {
     "ERP_A": A_HEADER + "a1,Ann A,B00000001,Spain,\na2,Only A,DE5,Germany,\na3,,,Spain,\n",
     "ERP_B": B_HEADER + "b1,Ann B,B00000001,ES,b@x\nb2,Ann B2,B00000001,ES,\nb3,Only B,FR7,France,\n",
