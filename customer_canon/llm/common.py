@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
+from collections.abc import Callable, Iterator
+from functools import wraps
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +65,31 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_memory() -> None:
+    """Gives what this process has freed back to the system, where its C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def releasing(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``work`` of a task over its batches, after which its memory goes back to the system.
+
+    Spark keeps Python workers for the next tasks and stages. Allocators keep what was freed, so that a worker would hold as much
+    as its largest task until it ends, and this counts against the executor's memory while other stages run.
+    """
+
+    @wraps(work)
+    def released(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return released
+
+
 #: Spark's option for the rows of a batch that goes to Python.
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from customer_canon.llm.common import Scratch, as_rows, broadcast_if_small, columns_of, cut, repeated
+from customer_canon.llm.common import Scratch, as_rows, broadcast_if_small, columns_of, cut, releasing, repeated
 from customer_canon.llm.components import components
 
 #: Shingles of a sketch and number of sketches. Texts of few shingles get smaller sketches, so that one edit leaves
@@ -206,7 +206,7 @@ def _sketched(classes: DataFrame, words: int) -> DataFrame:
                 }
             )
 
-    return classes.mapInPandas(sketched, "key_a long, key_b long, size int, sketches array<long>")
+    return classes.mapInPandas(releasing(sketched), "key_a long, key_b long, size int, sketches array<long>")
 
 
 def _compared(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame:
@@ -222,7 +222,7 @@ def _compared(pairs: DataFrame, sequences: DataFrame, least: float) -> DataFrame
 
     first = sequences.select(F.col("node").alias("a"), F.col("sequence").alias("first"))
     second = sequences.select(F.col("node").alias("b"), F.col("sequence").alias("second"))
-    return pairs.join(first, "a").join(second, "b").mapInPandas(linked, "a long, b long")
+    return pairs.join(first, "a").join(second, "b").mapInPandas(releasing(linked), "a long, b long")
 
 
 def _hubs(members: DataFrame) -> DataFrame:
@@ -355,7 +355,7 @@ def _alone(sequences: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"node": nodes, "shingle": np.concatenate(shingles)})
 
     # a text's shingles differ from each other, so rows are texts
-    shingles = sequences.mapInPandas(listed, "node long, shingle long")
+    shingles = sequences.mapInPandas(releasing(listed), "node long, shingle long")
     once = shingles.groupBy("shingle").agg(F.min("node").alias("node"), F.count("*").alias("texts")).where("texts = 1")
     return once.groupBy("node").agg(F.count("*").alias("alone"))
 
@@ -445,7 +445,7 @@ def _by_tile(rows: DataFrame, judged: Callable[[pd.DataFrame], pd.DataFrame], sc
         if rest is not None:
             yield judged(rest)
 
-    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(in_tiles, schema)
+    return rows.repartition(*TILE).sortWithinPartitions(*TILE).mapInPandas(releasing(in_tiles), schema)
 
 
 def _tiled(tiles: DataFrame, classes: DataFrame, sequences: DataFrame, least: float, scratch: Scratch) -> DataFrame:
@@ -536,7 +536,7 @@ def _near_duplicates(keyed: DataFrame, words: int, least: float, scratch: Scratc
             )
 
     schema = "node long, sequence binary, profile binary"
-    sequences = scratch.keep(texts.mapInPandas(sequenced, schema).dropDuplicates(["node"]))
+    sequences = scratch.keep(texts.mapInPandas(releasing(sequenced), schema).dropDuplicates(["node"]))
 
     hubs = scratch.keep(_hubs(members))
     links = scratch.keep(_compared(scratch.keep(_pairs(members, hubs, least)), sequences, least))

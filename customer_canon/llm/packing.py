@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from customer_canon.llm.common import releasing
+
 #: Characters beyond Latin letters and the common marks.
 _OTHER = re.compile("[^\x00-\u024f\u2010-\u2027]")
 #: Tokens of one block.
@@ -193,7 +195,9 @@ def pack_documents(
     types = [pa.int64()] * 6 + [pa.list_(pa.int32())] * with_ids
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, ends = text_encoder(tokenizer_file, ranks_file), sentence_ends(tokenizer_file)
+        # in this order, so that only one tokenizer is in memory
+        ends = sentence_ends(tokenizer_file)
+        encode = text_encoder(tokenizer_file, ranks_file)
         closing = np.array([closing_id], dtype="<u4").tobytes()
         block = _Block(ends, window)
         number = TaskContext.get().partitionId() << 33
@@ -217,7 +221,8 @@ def pack_documents(
                 block.add(doc_id, np.frombuffer(ids + closing, dtype="<u4"))
                 if block.length >= BLOCK:
                     yield rows(id_type, last=False)
+            batch = text = None  # else it stays while the next one is read
         if block.docs:
             yield rows(id_type, last=True)
 
-    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(pieces, schema)
+    return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(releasing(pieces), schema)
